@@ -1,0 +1 @@
+"""Streaming: the batch scoring plan applied to rating lines arriving as files."""
