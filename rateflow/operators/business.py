@@ -114,11 +114,11 @@ def rivals_per_area(rows: DataFrame) -> DataFrame:
 
 def open_days_imputed(rows: DataFrame) -> DataFrame:
     """P12 + A08: open-day count, with 0 replaced by the mean over all lines (zeros included)."""
-    mean_rows = rows.agg(F.avg("open_days").alias("mean_open_days"))
+    mean_rows = rows.agg(F.avg("open_days")).first()[0]
     per_key = last_wins(rows, "business_id", ["open_days"])
-    return per_key.crossJoin(F.broadcast(mean_rows)).select(
+    return per_key.select(
         "business_id",
-        F.when(F.col("open_days") == 0, F.col("mean_open_days"))
+        F.when(F.col("open_days") == 0, F.lit(mean_rows))
         .otherwise(F.col("open_days").cast("double"))
         .alias("open_days"),
     )

@@ -46,9 +46,17 @@ LOOKUPS = {
 }
 
 
+# Bytes per value in an unsafe row; strings are taken at a generous 48 bytes.
+_WIDTH = {
+    T.BooleanType: 8, T.ByteType: 8, T.ShortType: 8, T.IntegerType: 8, T.LongType: 8,
+    T.FloatType: 8, T.DoubleType: 8, T.DateType: 8, T.TimestampType: 8,
+    T.TimestampNTZType: 8, T.StringType: 56,
+}
+
+
 def row_bytes(schema: T.StructType) -> int:
-    """Rough in-memory width of one row (Spark's default sizes plus row overhead)."""
-    return 8 + sum(f.dataType.defaultSize() for f in schema.fields)
+    """Rough in-memory width of one row: null bitmap plus each field's slot."""
+    return 8 + sum(_WIDTH.get(type(f.dataType), 128) for f in schema.fields)
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
@@ -79,18 +87,28 @@ def lookup(ratings: DataFrame, business: DataFrame, user: DataFrame, tips: DataF
     )
 
 
-def fill_defaults(joined: DataFrame, defaults: DataFrame, features: list[str]) -> DataFrame:
+def default_values(defaults: DataFrame | dict) -> dict:
+    """The one-row defaults frame as a dict (one number per feature)."""
+    if isinstance(defaults, dict):
+        return defaults
+    row = defaults.first()
+    return row.asDict() if row is not None else {}
+
+
+def fill_defaults(joined: DataFrame, defaults: DataFrame | dict, features: list[str]) -> DataFrame:
     """Each feature is its looked-up value, or its default when the key was not found.
 
     ``business_open`` also applies P12: a count of 0 becomes the mean over
-    business.json lines. ``defaults`` is one row, so the broadcast is bounded.
+    business.json lines. The defaults are one aggregate row; they are
+    inlined as literals, so the fill is a plain projection inside the join's
+    generated code rather than a join against a one-row table.
     """
-    with_d = joined.crossJoin(F.broadcast(defaults))
+    d = default_values(defaults)
     out = []
     for name in features:
         value = F.col(LOOKUPS[name]).cast("double")
         if name == "business_open":
-            value = F.when(value == 0, F.col("d_open_days_lines")).otherwise(value)
-        out.append(F.coalesce(value, F.col(f"d_{name}")).alias(name))
+            value = F.when(value == 0, F.lit(d["d_open_days_lines"])).otherwise(value)
+        out.append(F.coalesce(value, F.lit(d[f"d_{name}"]).cast("double")).alias(name))
     keep = [c for c in ("user_id", "business_id", "rating", "label") if c in joined.columns]
-    return with_d.select(*keep, *out)
+    return joined.select(*keep, *out)

@@ -73,7 +73,7 @@ class Dimensions:
     user: DataFrame  # one row per user, u_* columns
     tips: DataFrame  # one row per (user, business), t_likes
     rivals: DataFrame  # one row per postal code
-    defaults: DataFrame  # one row, d_<feature>
+    defaults: DataFrame | dict  # one row, d_<feature> (a frame, or its values)
 
 
 def build_dimensions(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rateflow.functions.user import DEFAULT_AS_OF
 from rateflow.operators import stats
-from rateflow.operators.joins import broadcast_if_small
+from rateflow.operators.joins import broadcast_if_small, default_values
 from rateflow.operators.standardize import standardize
 from rateflow.plans.evaluate import error_histogram, rmse
 from rateflow.plans.features import (
@@ -22,7 +22,7 @@ from rateflow.plans.features import (
     val_ratings,
 )
 from rateflow.plans.model import DEPTH, ROUNDS, SEED, fit_gbt, predict
-from rateflow.session import ensure_checkpoint_dir
+from rateflow.operators.materialize import materialize, new_run_folder, spread_for_compute
 from rateflow.sources.inputs import Inputs, inputs_from_folder
 from rateflow.sources.sink import write_predictions
 
@@ -38,25 +38,27 @@ class PipelineResult:
     stages: dict[str, float] = field(default_factory=dict)
 
 
-def materialize_dimensions(dims: Dimensions, parity: bool = False) -> Dimensions:
-    """Checkpoint each dimension to the shared checkpoint folder and size its broadcast.
+def materialize_dimensions(dims: Dimensions, folder: str, parity: bool = False) -> Dimensions:
+    """Store each dimension as a table in the shared checkpoint folder and size its broadcast.
 
     The dimensions feed both the training and the validation lookups and the
-    defaults; checkpointing computes them once, cuts their lineage and lets a
-    lost executor's work be re-read instead of re-derived. The defaults are
-    then re-aggregated from the stored tables.
+    defaults; storing them computes each once and cuts its lineage. The
+    defaults are then aggregated from the stored tables into one row of
+    numbers.
     """
-    business = dims.business.checkpoint(eager=True)
-    user = dims.user.checkpoint(eager=True)
-    tips = dims.tips.checkpoint(eager=True)
-    rivals = dims.rivals.checkpoint(eager=True)
-    dflt = stats.defaults(
-        stats.business_means(business),
-        stats.user_means(user),
-        stats.tip_mean(tips),
-        stats.rivals_mean(rivals, parity),
-        parity,
-    ).checkpoint(eager=True)
+    business = materialize(dims.business, folder, "business_dim")
+    user = materialize(dims.user, folder, "user_dim")
+    tips = materialize(dims.tips, folder, "tip_dim")
+    rivals = materialize(dims.rivals, folder, "area_dim")
+    dflt = default_values(
+        stats.defaults(
+            stats.business_means(business),
+            stats.user_means(user),
+            stats.tip_mean(tips),
+            stats.rivals_mean(rivals, parity),
+            parity,
+        )
+    )
     return Dimensions(
         business=broadcast_if_small(business),
         user=broadcast_if_small(user),
@@ -88,26 +90,25 @@ def run_pipeline(
     """
     start = time.time()
     stages: dict[str, float] = {}
-    ensure_checkpoint_dir(spark)
+    folder = new_run_folder(spark)
     if inputs is None:
         if input_dir is None or val_path is None:
             raise ValueError("give input_dir and val_path, or inputs")
         inputs = inputs_from_folder(spark, input_dir, val_path)
     cols = resolve_features(features)
 
-    dims = materialize_dimensions(build_dimensions(inputs, as_of, parity), parity)
+    dims = materialize_dimensions(build_dimensions(inputs, as_of, parity), folder, parity)
     stages["dimensions"] = time.time() - start
 
-    train = feature_matrix(train_ratings(inputs), dims, cols)
-    val = feature_matrix(val_ratings(inputs), dims, cols)
-    train, val = standardize(train, val, cols, parity)
-    train = train.checkpoint(eager=True)
+    train = materialize(feature_matrix(train_ratings(inputs), dims, cols), folder, "train_matrix")
+    val = materialize(feature_matrix(val_ratings(inputs), dims, cols), folder, "val_matrix")
+    train, val = standardize(spread_for_compute(train), spread_for_compute(val), cols, parity)
     stages["features"] = time.time() - start - sum(stages.values())
 
     model = fit_gbt(train, cols, max_iter=max_iter, max_depth=max_depth, seed=seed)
     stages["fit"] = time.time() - start - sum(stages.values())
 
-    predictions = predict(model, val).checkpoint(eager=True)
+    predictions = materialize(predict(model, val), folder, "predictions")
     metrics = rmse(predictions).first()
     hist = [(r["bucket"], r["n"]) for r in error_histogram(predictions).orderBy("bucket").collect()]
     if out_path:

@@ -54,13 +54,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Deal rows round-robin over the session's task slots.
+
+    Each test table is one parquet row group, so its scan is one task; real
+    inputs are splittable text files read in many tasks. Spreading the rows
+    once, after column pruning, lets the rendering and parsing downstream run
+    on every core, as it would on the real files.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _json_lines(df: DataFrame, *cols: Column) -> DataFrame:
     return df.select(F.to_json(F.struct(*cols)).alias("value"))
 
 
 def _rated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_linenumber"
+    li = _spread(
+        _table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_quantity", "l_linenumber"
+        )
     )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return li.join(orders, li.l_orderkey == orders.o_orderkey).select(
@@ -147,7 +160,11 @@ def user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def photo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    li = _spread(
+        _table(spark, sf_dir, "lineitem")
+        .filter(F.col("l_returnflag") == "R")
+        .select("l_orderkey", "l_linenumber", "l_partkey")
+    )
     return _json_lines(
         li,
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("photo_id"),
@@ -156,7 +173,7 @@ def photo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def checkin_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem")
+    li = _spread(_table(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_linenumber"))
     slots = (
         li.select(
             F.col("l_partkey").cast("string").alias("business_id"),
