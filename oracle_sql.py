@@ -62,7 +62,8 @@ LOOKUPS = {
 
 
 def r6(expr: str) -> str:
-    return f"ROUND(CAST({expr} AS DOUBLE), 6)"
+    # "+ 0.0" turns a rounded -0.0 into 0.0
+    return f"(ROUND(CAST({expr} AS DOUBLE), 6) + 0.0)"
 
 
 def i64(expr: str) -> str:

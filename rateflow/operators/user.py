@@ -40,19 +40,19 @@ def user_dim(rows: DataFrame) -> DataFrame:
     """All user-keyed values in one frame, one shuffle on ``user_id``.
 
     Age and friends come from the last line of each user; the counters from
-    the last line that passes P15's filter.
+    the last line that passes P15's filter. Each value is reduced by its own
+    ``max_by`` over the same read position, so all values of a user come from
+    one line, and every buffer is numeric: the reduce runs as a hash
+    aggregate with a map-side partial step.
     """
+    kept = F.col("counters").isNotNull()
     reduced = rows.groupBy("user_id").agg(
-        last_value(F.struct("age", "friends")).alias("a"),
-        last_value("counters", keep=F.col("counters").isNotNull()).alias("c"),
-    )
-    return reduced.select(
-        "user_id",
-        F.col("a.age").alias("u_age"),
-        F.col("a.friends").alias("u_friends"),
-        F.col("c").isNotNull().alias("u_has_counters"),
-        *[F.col(f"c.{n}").alias(f"u_{n}") for n in USER_COUNTERS],
+        last_value("age").alias("u_age"),
+        last_value("friends").alias("u_friends"),
+        F.max(kept).alias("u_has_counters"),
+        *[last_value(F.col(f"counters.{n}"), keep=kept).alias(f"u_{n}") for n in USER_COUNTERS],
     )
+    return reduced
 
 
 def user_features(rows: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from rateflow.operators import business as biz
 from rateflow.operators import stats
 from rateflow.operators import user as usr
 from rateflow.operators.interactions import tip_likes
-from rateflow.operators.joins import fill_defaults, lookup
+from rateflow.operators.joins import broadcast_if_small, default_values, fill_defaults, lookup
+from rateflow.operators.materialize import materialize
 from rateflow.sources.csv_ratings import parse_rating_lines, training_rows
 from rateflow.sources.inputs import Inputs
 
@@ -95,6 +96,36 @@ def build_dimensions(
     return Dimensions(business=business, user=user, tips=tips, rivals=rivals, defaults=dflt)
 
 
+def materialize_dimensions(dims: Dimensions, folder: str, parity: bool = False) -> Dimensions:
+    """Store each dimension as a table in the shared checkpoint folder and size its broadcast.
+
+    The dimensions feed both the training and the validation lookups and the
+    defaults; storing them computes each once and cuts its lineage. The
+    defaults are then aggregated from the stored tables into one row of
+    numbers.
+    """
+    business = materialize(dims.business, folder, "business_dim")
+    user = materialize(dims.user, folder, "user_dim")
+    tips = materialize(dims.tips, folder, "tip_dim")
+    rivals = materialize(dims.rivals, folder, "area_dim")
+    dflt = default_values(
+        stats.defaults(
+            stats.business_means(business),
+            stats.user_means(user),
+            stats.tip_mean(tips),
+            stats.rivals_mean(rivals, parity),
+            parity,
+        )
+    )
+    return Dimensions(
+        business=broadcast_if_small(business),
+        user=broadcast_if_small(user),
+        tips=tips,
+        rivals=rivals,
+        defaults=dflt,
+    )
+
+
 def train_ratings(inputs: Inputs) -> DataFrame:
     """Training rows: ratings lines with both features and a label."""
     return training_rows(parse_rating_lines(inputs.train, inputs.train_header))

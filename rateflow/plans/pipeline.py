@@ -9,14 +9,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from rateflow.functions.user import DEFAULT_AS_OF
-from rateflow.operators import stats
-from rateflow.operators.joins import broadcast_if_small, default_values
 from rateflow.operators.standardize import standardize
 from rateflow.plans.evaluate import error_histogram, rmse
 from rateflow.plans.features import (
-    Dimensions,
     build_dimensions,
     feature_matrix,
+    materialize_dimensions,
     resolve_features,
     train_ratings,
     val_ratings,
@@ -38,36 +36,6 @@ class PipelineResult:
     stages: dict[str, float] = field(default_factory=dict)
 
 
-def materialize_dimensions(dims: Dimensions, folder: str, parity: bool = False) -> Dimensions:
-    """Store each dimension as a table in the shared checkpoint folder and size its broadcast.
-
-    The dimensions feed both the training and the validation lookups and the
-    defaults; storing them computes each once and cuts its lineage. The
-    defaults are then aggregated from the stored tables into one row of
-    numbers.
-    """
-    business = materialize(dims.business, folder, "business_dim")
-    user = materialize(dims.user, folder, "user_dim")
-    tips = materialize(dims.tips, folder, "tip_dim")
-    rivals = materialize(dims.rivals, folder, "area_dim")
-    dflt = default_values(
-        stats.defaults(
-            stats.business_means(business),
-            stats.user_means(user),
-            stats.tip_mean(tips),
-            stats.rivals_mean(rivals, parity),
-            parity,
-        )
-    )
-    return Dimensions(
-        business=broadcast_if_small(business),
-        user=broadcast_if_small(user),
-        tips=tips,
-        rivals=rivals,
-        defaults=dflt,
-    )
-
-
 def run_pipeline(
     spark: SparkSession,
     input_dir: str | None = None,

@@ -20,14 +20,16 @@ from rateflow.operators import user as usr
 from rateflow.operators.joins import lookup
 from rateflow.operators.standardize import standardize
 from rateflow.plans import evaluate
+from rateflow.operators.materialize import new_run_folder, spread_for_compute
 from rateflow.plans.features import (
     FEATURES_29,
     build_dimensions,
     feature_matrix,
+    materialize_dimensions,
     train_ratings,
     val_ratings,
 )
-from rateflow.plans.model import fit_gbt, predict, search
+from rateflow.plans.model import assembler, fit_gbt, predict, search
 from rateflow.sources.csv_ratings import parse_rating_lines, val_frame
 from rateflow.sources.inputs import Inputs
 from rateflow.sources.json_lines import parse_json_lines
@@ -45,14 +47,14 @@ QUERY_PAIRS = [(5, 3), (5, 5), (10, 4), (10, 5), (20, 5)]
 
 
 def canonical(df: DataFrame) -> DataFrame:
-    """Integers as BIGINT, floating point rounded to 6 places, other types unchanged."""
+    """Integers as BIGINT, floating point rounded to 6 places (never -0.0), other types unchanged."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double"), 6)
+            c = F.round(c.cast("double"), 6) + F.lit(0.0)  # no negative zero
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -243,43 +245,48 @@ def fill_defaults(spark, sf_dir):
 
 # --- feature matrix, scaling, evaluation ------------------------------------
 
-def _matrix(spark, sf_dir, features="v29", parity=False, which="train"):
+def _stored(spark, sf_dir, parity=False):
+    """Inputs and dimensions stored once, shared by the train and validation matrices."""
     inp = _inputs(spark, sf_dir)
-    dims = build_dimensions(inp, parity=parity)
+    dims = materialize_dimensions(build_dimensions(inp, parity=parity), new_run_folder(spark), parity)
+    return inp, dims
+
+
+def _matrix(stored, features="v29", which="train"):
+    inp, dims = stored
     ratings = train_ratings(inp) if which == "train" else val_ratings(inp)
     return feature_matrix(ratings, dims, features)
 
 
 def q_feature_matrix(spark, sf_dir):
-    return _matrix(spark, sf_dir)
+    return _matrix(_stored(spark, sf_dir))
 
 
 def feature_matrix_v32(spark, sf_dir):
-    return _matrix(spark, sf_dir, "v32")
+    return _matrix(_stored(spark, sf_dir), "v32")
 
 
 def feature_matrix_v15(spark, sf_dir):
-    return _matrix(spark, sf_dir, "v15")
+    return _matrix(_stored(spark, sf_dir), "v15")
 
 
 def feature_matrix_parity(spark, sf_dir):
-    return _matrix(spark, sf_dir, parity=True)
+    return _matrix(_stored(spark, sf_dir, parity=True))
 
 
 def q_standardize(spark, sf_dir):
-    train, _ = standardize(_matrix(spark, sf_dir), None, FEATURES_29)
+    train, _ = standardize(_matrix(_stored(spark, sf_dir)), None, FEATURES_29)
     return train
 
 
 def standardize_val(spark, sf_dir):
-    _, val = standardize(_matrix(spark, sf_dir), _matrix(spark, sf_dir, which="val"), FEATURES_29)
-    return val
+    stored = _stored(spark, sf_dir)
+    return standardize(_matrix(stored), _matrix(stored, which="val"), FEATURES_29)[1]
 
 
 def standardize_val_parity(spark, sf_dir):
-    train = _matrix(spark, sf_dir, parity=True)
-    val = _matrix(spark, sf_dir, parity=True, which="val")
-    return standardize(train, val, FEATURES_29, parity=True)[1]
+    stored = _stored(spark, sf_dir, parity=True)
+    return standardize(_matrix(stored), _matrix(stored, which="val"), FEATURES_29, parity=True)[1]
 
 
 def eval_rmse(spark, sf_dir):
@@ -290,11 +297,14 @@ def eval_error_hist(spark, sf_dir):
     return evaluate.error_histogram(_mean_predictions(spark, sf_dir))
 
 
+def _scaled(spark, sf_dir):
+    stored = _stored(spark, sf_dir)
+    return standardize(_matrix(stored), _matrix(stored, which="val"), FEATURES_29)
+
+
 def _gbt_predictions(spark, sf_dir):
-    train = _matrix(spark, sf_dir)
-    val = _matrix(spark, sf_dir, which="val")
-    train, val = standardize(train, val, FEATURES_29)
-    model = fit_gbt(train, FEATURES_29, max_iter=QUERY_ROUNDS, max_depth=QUERY_DEPTH)
+    train, val = _scaled(spark, sf_dir)
+    model = fit_gbt(spread_for_compute(train), FEATURES_29, max_iter=QUERY_ROUNDS, max_depth=QUERY_DEPTH)
     return predict(model, val)
 
 
@@ -307,12 +317,8 @@ def gbt_error_hist(spark, sf_dir):
 
 
 def gbt_grid(spark, sf_dir):
-    train = _matrix(spark, sf_dir)
-    val = _matrix(spark, sf_dir, which="val")
-    train, val = standardize(train, val, FEATURES_29)
-    tvs = search(train, FEATURES_29, pairs=QUERY_PAIRS)
-    from rateflow.plans.model import assembler
-
+    train, val = _scaled(spark, sf_dir)
+    tvs = search(spread_for_compute(train), FEATURES_29, pairs=QUERY_PAIRS)
     best = tvs.bestModel.transform(assembler(FEATURES_29).transform(val))
     return best.select("user_id", "business_id", "label", "prediction")
 
