@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -78,14 +79,26 @@ class Dimensions:
 
 
 def build_dimensions(
-    inputs: Inputs, as_of: dt.date | str = DEFAULT_AS_OF, parity: bool = False
+    inputs: Inputs,
+    as_of: dt.date | str = DEFAULT_AS_OF,
+    parity: bool = False,
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> Dimensions:
-    """Parse every source once and reduce it to its keyed dimension (one shuffle per key)."""
+    """Parse every source once and reduce it to its keyed dimension (one shuffle per key).
+
+    ``store`` (frame, name) -> frame, when given, is applied to each
+    dimension as soon as it is built, so later steps read the stored table
+    (the areas are stored before the business dimension looks them up).
+    """
+    keep = store or (lambda df, _name: df)
     rows = biz.business_rows(inputs.business, parity)
-    rivals = biz.rivals_per_area(rows)
-    business = biz.with_rivals(biz.business_dim(rows, inputs.photo, inputs.checkin), rivals, parity)
-    user = usr.user_dim(usr.user_rows(inputs.user, as_of, parity))
-    tips = tip_likes(inputs.tip)
+    rivals = keep(biz.rivals_per_area(rows), "area_dim")
+    business = keep(
+        biz.with_rivals(biz.business_dim(rows, inputs.photo, inputs.checkin), rivals, parity),
+        "business_dim",
+    )
+    user = keep(usr.user_dim(usr.user_rows(inputs.user, as_of, parity)), "user_dim")
+    tips = keep(tip_likes(inputs.tip), "tip_dim")
     dflt = stats.defaults(
         stats.business_means(business),
         stats.user_means(user),
@@ -96,33 +109,24 @@ def build_dimensions(
     return Dimensions(business=business, user=user, tips=tips, rivals=rivals, defaults=dflt)
 
 
-def materialize_dimensions(dims: Dimensions, folder: str, parity: bool = False) -> Dimensions:
-    """Store each dimension as a table in the shared checkpoint folder and size its broadcast.
+def materialize_dimensions(
+    inputs: Inputs, folder: str, as_of: dt.date | str = DEFAULT_AS_OF, parity: bool = False
+) -> Dimensions:
+    """Build the dimensions, storing each as a table under ``folder``, and size their broadcast.
 
     The dimensions feed both the training and the validation lookups and the
     defaults; storing them computes each once and cuts its lineage. The
     defaults are then aggregated from the stored tables into one row of
-    numbers.
+    numbers, and the business and user tables are broadcast only if their
+    measured size fits (``broadcast_if_small``).
     """
-    business = materialize(dims.business, folder, "business_dim")
-    user = materialize(dims.user, folder, "user_dim")
-    tips = materialize(dims.tips, folder, "tip_dim")
-    rivals = materialize(dims.rivals, folder, "area_dim")
-    dflt = default_values(
-        stats.defaults(
-            stats.business_means(business),
-            stats.user_means(user),
-            stats.tip_mean(tips),
-            stats.rivals_mean(rivals, parity),
-            parity,
-        )
-    )
+    dims = build_dimensions(inputs, as_of, parity, store=lambda df, name: materialize(df, folder, name))
     return Dimensions(
-        business=broadcast_if_small(business),
-        user=broadcast_if_small(user),
-        tips=tips,
-        rivals=rivals,
-        defaults=dflt,
+        business=broadcast_if_small(dims.business),
+        user=broadcast_if_small(dims.user),
+        tips=dims.tips,
+        rivals=dims.rivals,
+        defaults=default_values(dims.defaults),
     )
 
 

@@ -12,7 +12,6 @@ from rateflow.functions.user import DEFAULT_AS_OF
 from rateflow.operators.standardize import standardize
 from rateflow.plans.evaluate import error_histogram, rmse
 from rateflow.plans.features import (
-    build_dimensions,
     feature_matrix,
     materialize_dimensions,
     resolve_features,
@@ -34,6 +33,7 @@ class PipelineResult:
     model: object
     seconds: float
     stages: dict[str, float] = field(default_factory=dict)
+    trees: int = 0
 
 
 def run_pipeline(
@@ -49,11 +49,14 @@ def run_pipeline(
     max_iter: int = ROUNDS,
     max_depth: int = DEPTH,
     seed: int = SEED,
+    early_stopping: bool = False,
 ) -> PipelineResult:
     """Run the job end to end and return its metrics.
 
     ``inputs`` replaces ``input_dir``/``val_path`` (e.g. the test-table
-    adapter). Only the RMSE row and the five histogram rows reach the driver;
+    adapter). ``early_stopping`` holds out 10% of the training rows and stops
+    adding trees once their loss no longer improves.
+    Only the RMSE row and the five histogram rows reach the driver;
     predictions are written by the executors.
     """
     start = time.time()
@@ -65,7 +68,7 @@ def run_pipeline(
         inputs = inputs_from_folder(spark, input_dir, val_path)
     cols = resolve_features(features)
 
-    dims = materialize_dimensions(build_dimensions(inputs, as_of, parity), folder, parity)
+    dims = materialize_dimensions(inputs, folder, as_of, parity)
     stages["dimensions"] = time.time() - start
 
     train = materialize(feature_matrix(train_ratings(inputs), dims, cols), folder, "train_matrix")
@@ -73,7 +76,9 @@ def run_pipeline(
     train, val = standardize(spread_for_compute(train), spread_for_compute(val), cols, parity)
     stages["features"] = time.time() - start - sum(stages.values())
 
-    model = fit_gbt(train, cols, max_iter=max_iter, max_depth=max_depth, seed=seed)
+    model = fit_gbt(
+        train, cols, max_iter=max_iter, max_depth=max_depth, seed=seed, early_stopping=early_stopping
+    )
     stages["fit"] = time.time() - start - sum(stages.values())
 
     predictions = materialize(predict(model, val), folder, "predictions")
@@ -90,4 +95,5 @@ def run_pipeline(
         model=model,
         seconds=time.time() - start,
         stages=stages,
+        trees=model.stages[-1].getNumTrees,
     )

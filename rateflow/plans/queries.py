@@ -248,7 +248,7 @@ def fill_defaults(spark, sf_dir):
 def _stored(spark, sf_dir, parity=False):
     """Inputs and dimensions stored once, shared by the train and validation matrices."""
     inp = _inputs(spark, sf_dir)
-    dims = materialize_dimensions(build_dimensions(inp, parity=parity), new_run_folder(spark), parity)
+    dims = materialize_dimensions(inp, new_run_folder(spark), parity=parity)
     return inp, dims
 
 

@@ -67,3 +67,11 @@ def test_pipeline_from_files_writes_predictions(spark):
     assert sum(n for _, n in res.histogram) == res.n_val
     assert res.rmse > 0
     assert os.path.isdir(out)
+
+
+def test_early_stopping_keeps_at_most_the_rounds(train):
+    model = fit_gbt(train, FEATURES_29, max_iter=8, max_depth=3, early_stopping=True)
+    assert 1 <= model.stages[-1].getNumTrees <= 8
+    pred = predict(model, train)
+    assert pred.filter(F.col("prediction").isNull()).count() == 0
+    assert "_holdout" in pred.columns
