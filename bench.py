@@ -26,11 +26,9 @@ from rateflow.sources.tables import inputs_from_tables  # noqa: E402
 
 HEADLINE = [
     "feature_matrix",
-    "standardize_val",
     "join_business",
     "join_user",
     "join_tip",
-    "fill_defaults",
     "rivals_per_area",
     "photo_count",
     "checkin_total",

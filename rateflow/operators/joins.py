@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Largest dimension broadcast to every task, in estimated in-memory bytes.
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 
 # Feature column -> dimension column it is looked up from.
 LOOKUPS = {
