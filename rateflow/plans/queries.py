@@ -1,8 +1,11 @@
 """Named queries over a scale-factor folder of test tables, one per operator.
 
-Each takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole
-tables. ``canonical`` gives every result the same presentation as the DuckDB
-oracle: integers as BIGINT, doubles rounded to 6 places.
+Each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables.
+Most are lazy plans; the feature-matrix and model queries first store the
+dimensions (they are read twice: for the defaults and for the lookups) and
+read one aggregate row of defaults. ``canonical`` gives every result the
+same presentation as the DuckDB oracle: integers as BIGINT, doubles rounded
+to 6 places.
 """
 
 from __future__ import annotations
@@ -18,9 +21,9 @@ from rateflow.operators import interactions as ix
 from rateflow.operators import stats
 from rateflow.operators import user as usr
 from rateflow.operators.joins import lookup
+from rateflow.operators.materialize import new_run_folder, spread_for_compute
 from rateflow.operators.standardize import standardize
 from rateflow.plans import evaluate
-from rateflow.operators.materialize import new_run_folder, spread_for_compute
 from rateflow.plans.features import (
     FEATURES_29,
     build_dimensions,
