@@ -24,7 +24,7 @@ from rateflow.sources.text import SEQ
 
 # Per-line business features and the name each takes in the business dimension.
 LINE_FEATURES = {
-    "postal_code": "postal_code",
+    "line_rivals": "b_rivals",
     "stars": "b_stars",
     "is_open": "b_is_open",
     "attr_score": "b_attr",
@@ -124,19 +124,34 @@ def open_days_imputed(rows: DataFrame) -> DataFrame:
     )
 
 
+def attach_rivals(rows: DataFrame, rivals: DataFrame, parity: bool = False) -> DataFrame:
+    """J04 per line: the rival count of the line's area as ``line_rivals``.
+
+    The business dimension then keeps the count of its last line's area, the
+    area the job looks the business up in. With ``parity`` the job's own
+    lookup is kept: it searches the business id among the postal codes, which
+    never matches in practice. ``rivals`` has one row per area.
+    """
+    r = rivals.select(F.col("postal_code").alias("_area"), F.col("rivals").alias("line_rivals"))
+    key = F.col("business_id") if parity else F.col("postal_code")
+    return rows.join(r, key.eqNullSafe(F.col("_area")), "left").drop("_area")
+
+
 def business_dim(rows: DataFrame, photo_lines: DataFrame, checkin_lines: DataFrame) -> DataFrame:
     """All business-keyed values in one frame, built with one shuffle on ``business_id``.
 
-    The three sources are stacked and reduced by one ``groupBy``: last-wins
-    for the business.json features and the check-in totals, a count for
-    photos, and the per-key sums needed for the mean open days over lines
-    (A08). A key absent from a source gets NULL there, which the fill step
-    turns into that column's mean. Output is hash-partitioned on
-    ``business_id``, which the later join on the same key can reuse.
+    ``rows`` are business.json lines with ``line_rivals`` attached. The three
+    sources are stacked and reduced by one ``groupBy``: last-wins for the
+    business.json features and the check-in totals, a count for photos, and
+    the per-key sums needed for the mean open days over lines (A08). Every
+    value is numeric and reduced by its own ``max_by`` / ``sum`` / ``count``,
+    so the reduce is a hash aggregate with a map-side partial step. A key
+    absent from a source gets NULL there, which the fill step turns into that
+    column's mean. Output is hash-partitioned on ``business_id``.
     """
     biz = rows.select(
         "business_id",
-        F.struct(*[F.col(c).alias(n) for c, n in LINE_FEATURES.items()]).alias("b"),
+        *[F.col(c).alias(f"_{n}") for c, n in LINE_FEATURES.items()],
         F.col(SEQ).alias("b_seq"),
         F.col("review_count").alias("rc"),
         F.when(review_count_kept(), F.col(SEQ)).alias("rc_seq"),
@@ -149,31 +164,11 @@ def business_dim(rows: DataFrame, photo_lines: DataFrame, checkin_lines: DataFra
     stacked = biz.unionByName(photos, allowMissingColumns=True).unionByName(
         checkins, allowMissingColumns=True
     )
-    reduced = stacked.groupBy("business_id").agg(
-        last_value("b", "b_seq").alias("b"),
+    return stacked.groupBy("business_id").agg(
+        *[last_value(f"_{n}", "b_seq").alias(n) for n in LINE_FEATURES.values()],
         last_value("rc", "rc_seq").alias("b_review_count"),
         F.sum("ph").alias("b_photo"),
         last_value("ck", "ck_seq").alias("b_checkins"),
         F.sum("od_line").alias("od_line_sum"),
         F.count("b_seq").alias("line_count"),
     )
-    return reduced.select(
-        "business_id",
-        *[F.col(f"b.{n}").alias(n) for n in LINE_FEATURES.values()],
-        "b_review_count",
-        "b_photo",
-        "b_checkins",
-        "od_line_sum",
-        "line_count",
-    )
-
-
-def with_rivals(dim: DataFrame, rivals: DataFrame, parity: bool = False) -> DataFrame:
-    """Attach the rival count of each business's area as ``b_rivals``.
-
-    With ``parity`` the job's own lookup is kept: it searches the business id
-    among the postal codes, which never matches in practice.
-    """
-    r = rivals.select(F.col("postal_code").alias("_area"), F.col("rivals").alias("b_rivals"))
-    key = F.col("business_id") if parity else F.col("postal_code")
-    return dim.join(r, key.eqNullSafe(F.col("_area")), "left").drop("_area")

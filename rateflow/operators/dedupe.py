@@ -23,11 +23,11 @@ def last_value(value: str | Column, seq: str | Column = SEQ, keep: Column | None
 
 
 def last_wins(df: DataFrame, key: str | list[str], value_cols: list[str], seq: str = SEQ) -> DataFrame:
-    """One row per key with the value columns of its last row."""
+    """One row per key with the value columns of its last row.
+
+    Each column is reduced by its own ``max_by`` over the same read position,
+    so all values come from one row; numeric values keep every buffer
+    fixed-width and the reduce runs as a hash aggregate.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    packed = F.struct(*value_cols)
-    return (
-        df.groupBy(*keys)
-        .agg(last_value(packed, seq).alias("_last"))
-        .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in value_cols])
-    )
+    return df.groupBy(*keys).agg(*[last_value(c, seq).alias(c) for c in value_cols])

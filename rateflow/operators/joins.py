@@ -78,7 +78,7 @@ def lookup(ratings: DataFrame, business: DataFrame, user: DataFrame, tips: DataF
     Every dimension has one row per key, so no ratings row is duplicated or
     lost. The business and user joins run first; the pair join last.
     """
-    b = business.drop("postal_code", "od_line_sum", "line_count")
+    b = business.drop("od_line_sum", "line_count")
     u = user.drop("u_has_counters")
     return (
         ratings.join(b, "business_id", "left")

@@ -68,11 +68,24 @@ def rivals_mean(rivals: DataFrame, parity: bool = False) -> DataFrame:
     return rivals.agg(F.avg("rivals").cast("double").alias("mean_rivals"))
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Merge one-row frames with distinct columns into one row.
+
+    The rows are stacked (each with NULL for the other frames' columns) and
+    folded by one global aggregate; no join is needed.
+    """
+    stacked = frames[0]
+    for f in frames[1:]:
+        stacked = stacked.unionByName(f, allowMissingColumns=True)
+    cols = [c for f in frames for c in f.columns]
+    return stacked.agg(*[F.max(c).alias(c) for c in cols])
+
+
 def variance_means(user_var: DataFrame, business_var: DataFrame) -> DataFrame:
     """Mean of the per-user and of the per-business rating variances."""
     u = user_var.agg(F.avg("rating_var").alias("mean_user_var"))
     b = business_var.agg(F.avg("rating_var").alias("mean_business_var"))
-    return u.crossJoin(b)
+    return one_row(u, b)
 
 
 def feature_domain(noise: DataFrame, price: DataFrame) -> DataFrame:
@@ -135,6 +148,6 @@ def defaults(
     """One row: ``d_<feature>`` for every feature, plus ``d_open_days_lines`` for P12."""
     u = umeans.withColumnRenamed("mean_review_count", "mean_review_count_u")
     b = bmeans.withColumnRenamed("mean_review_count", "mean_review_count_b")
-    means = b.crossJoin(u).crossJoin(tmean).crossJoin(rmean)
+    means = one_row(b, u, tmean, rmean)
     cols = [v.cast("double").alias(f"d_{k}") for k, v in _default_columns(parity).items()]
     return means.select(*cols, F.col("mean_open_days_lines").alias("d_open_days_lines"))

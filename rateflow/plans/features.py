@@ -71,7 +71,7 @@ def resolve_features(features: str | list[str]) -> list[str]:
 class Dimensions:
     """The lookup tables of the job and its one-row defaults."""
 
-    business: DataFrame  # one row per business, b_* columns and b_rivals
+    business: DataFrame  # one row per business, b_* columns (b_rivals included)
     user: DataFrame  # one row per user, u_* columns
     tips: DataFrame  # one row per (user, business), t_likes
     rivals: DataFrame  # one row per postal code
@@ -94,7 +94,7 @@ def build_dimensions(
     rows = biz.business_rows(inputs.business, parity)
     rivals = keep(biz.rivals_per_area(rows), "area_dim")
     business = keep(
-        biz.with_rivals(biz.business_dim(rows, inputs.photo, inputs.checkin), rivals, parity),
+        biz.business_dim(biz.attach_rivals(rows, rivals, parity), inputs.photo, inputs.checkin),
         "business_dim",
     )
     user = keep(usr.user_dim(usr.user_rows(inputs.user, as_of, parity)), "user_dim")

@@ -239,7 +239,11 @@ def join_tip(spark, sf_dir):
 
 
 def join_rivals(spark, sf_dir):
-    return _dims(spark, sf_dir).business.select("business_id", "postal_code", "b_rivals")
+    inp = _inputs(spark, sf_dir)
+    rows = biz.business_rows(inp.business)
+    areas = biz.business_feature(rows, "postal_code")
+    dim = build_dimensions(inp).business.select("business_id", "b_rivals")
+    return dim.join(areas, "business_id", "left").select("business_id", "postal_code", "b_rivals")
 
 
 def fill_defaults(spark, sf_dir):

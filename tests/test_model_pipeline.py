@@ -74,4 +74,3 @@ def test_early_stopping_keeps_at_most_the_rounds(train):
     assert 1 <= model.stages[-1].getNumTrees <= 8
     pred = predict(model, train)
     assert pred.filter(F.col("prediction").isNull()).count() == 0
-    assert "_holdout" in pred.columns
