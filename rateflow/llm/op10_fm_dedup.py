@@ -168,8 +168,7 @@ def removed_mask(b: Block, e: Entries, replies: np.ndarray, window: int) -> np.n
 def finisher(window: int, with_text: bool):
     def finish(b: Block, e: Entries, replies: np.ndarray) -> pa.RecordBatch:
         gone = removed_mask(b, e, replies, window)
-        sums = np.concatenate([[0], np.cumsum(gone)])
-        removed = sums[b.bounds[1:]] - sums[b.bounds[:-1]]
+        removed = np.diff(vec.sums_before(gone, b.bounds))
         whole = b.buf.tobytes()
         sha, kept = [], []
         for i, n in enumerate(removed.tolist()):

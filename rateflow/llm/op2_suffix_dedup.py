@@ -107,12 +107,13 @@ def removed_mask(b: Block, e: Entries, replies: np.ndarray, window: int) -> np.n
 def finisher(window: int, with_text: bool):
     def finish(b: Block, e: Entries, replies: np.ndarray) -> pa.RecordBatch:
         gone = removed_mask(b, e, replies, window)
-        sums = np.concatenate([[0], np.cumsum(gone)])
+        removed = np.diff(vec.sums_before(gone, b.offsets))
         rise = gone.copy()
         rise[1:] &= ~gone[:-1]
-        rise[b.offsets[:-1][np.diff(b.offsets) > 0]] = gone[b.offsets[:-1][np.diff(b.offsets) > 0]]
-        spans = np.concatenate([[0], np.cumsum(rise)])
-        removed = sums[b.offsets[1:]] - sums[b.offsets[:-1]]
+        begins = b.offsets[:-1][np.diff(b.offsets) > 0]
+        rise[begins] = gone[begins]
+        spans = np.diff(vec.sums_before(rise, b.offsets))
+        del rise
         sha, kept = [], []
         for i, n in enumerate(removed.tolist()):
             lo, hi = b.offsets[i], b.offsets[i + 1]
@@ -121,7 +122,7 @@ def finisher(window: int, with_text: bool):
             kept.append(rest.tobytes() if with_text else None)
         return pa.RecordBatch.from_pydict({
             "doc_id": null_ids_back(b.ids), "n_bytes": np.diff(b.offsets), "n_removed": removed,
-            "n_spans": spans[b.offsets[1:]] - spans[b.offsets[:-1]], "kept_sha256": sha, "kept": pa.array(kept, pa.binary()),
+            "n_spans": spans, "kept_sha256": sha, "kept": pa.array(kept, pa.binary()),
         })
 
     return finish

@@ -39,8 +39,8 @@ from rateflow.llm.common import (
     unsqueeze_ints,
 )
 
-BLOCK_BYTES = 16 << 20
-BUCKET_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
+BUCKET_BYTES = 16 << 20
 LEAST_BUCKETS = 24
 KEY_BITS = 48
 

@@ -167,6 +167,14 @@ def spans_to_flat(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def cover(size: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Mask of the positions inside any of the spans [begin, end)."""
-    delta = np.bincount(begin, minlength=size + 1).astype(np.int64)
-    delta -= np.bincount(end, minlength=size + 1)
-    return np.cumsum(delta[:size]) > 0
+    delta = np.zeros(size + 1, np.int32)
+    np.add.at(delta, begin, 1)
+    np.subtract.at(delta, end, 1)
+    return np.cumsum(delta[:size], out=delta[:size]) > 0
+
+
+def sums_before(mask: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many of the mask's positions lie before each of the places ``at``."""
+    sums = np.zeros(len(mask) + 1, np.int32)
+    np.cumsum(mask, out=sums[1:])
+    return sums[at].astype(np.int64)
