@@ -8,8 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from rateflow.operators.materialize import materialize, new_run_folder
 
@@ -45,10 +44,6 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def put_column(df: DataFrame, name: str, value: Column) -> DataFrame:
-    return df.withColumn(name, value)
-
-
 def squeeze(data: bytes) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(data)
 
@@ -116,5 +111,8 @@ def null_ids_back(ids: np.ndarray) -> pa.Array:
     return pa.array(ids, pa.int64(), mask=ids == NULL_ID)
 
 
-def hex_digest(value: Column) -> Column:
-    return F.lower(F.sha2(value, 256))
+def text_strings(batch: pa.RecordBatch, text_col: str = "text", limit: int = 4 << 20) -> Iterator[tuple[int, int, list[str]]]:
+    """Row ranges of ``limit`` bytes of text at most, with their texts; nulls are empty."""
+    raw, at = text_buffer(batch.column(text_col))
+    for lo, hi in row_groups(np.diff(at), limit):
+        yield lo, hi, [raw[at[i] : at[i + 1]].tobytes().decode("utf-8") for i in range(lo, hi)]
