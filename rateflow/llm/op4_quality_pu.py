@@ -93,8 +93,8 @@ def frequencies(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Model:
     """Score of a text: logistic(bias + mean weight of its class trigrams + weights of its repetition).
 
-    The mean weight counts ``cap`` at most, which 99% of the trusted positives
-    stay below: an odd mixture of trigrams cannot outweigh repetition.
+    The mean weight counts ``cap`` at most, which half of the trusted positives
+    reach: an odd mixture of trigrams cannot outweigh repetition.
     """
 
     prior: float
@@ -167,7 +167,7 @@ def fit_rows(p: np.ndarray, u: np.ndarray) -> Model:
     w = _descend(*scaled, prior)
     tables = np.zeros(WIDTH)
     tables[used] = w[:-1] / sd
-    cap = float(np.quantile(p[:, :TABLE] @ tables[:TABLE], 0.99))
+    cap = float(np.quantile(p[:, :TABLE] @ tables[:TABLE], 0.5))
     return Model(prior, cap, float(w[-1] - (w[:-1] * mean / sd).sum()), tables[:TABLE], tables[TABLE:])
 
 

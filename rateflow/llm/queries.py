@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rateflow.llm.op1_license_scan import op1_license_scan
 from rateflow.llm.op2_suffix_dedup import op2_suffix_dedup
+from rateflow.llm.op3_warc import op3_warc
 from rateflow.llm.op4_quality_pu import op4_quality_pu
 from rateflow.llm.op6_byte_bpe import op6_byte_bpe
 from rateflow.llm.op7_secret_scan import op7_secret_scan
 from rateflow.llm.op10_fm_dedup import op10_fm_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_warc": op3_warc,
     "op4_quality_pu": op4_quality_pu,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,
