@@ -12,6 +12,8 @@ from rateflow.llm.op3_warc import op3_warc
 from rateflow.llm.op4_quality_pu import op4_quality_pu
 from rateflow.llm.op6_byte_bpe import op6_byte_bpe
 from rateflow.llm.op7_secret_scan import op7_secret_scan
+from rateflow.llm.op8_decontaminate import op8_decontaminate
+from rateflow.llm.op9_bag_minhash import op9_bag_minhash
 from rateflow.llm.op10_fm_dedup import op10_fm_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +23,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_pu": op4_quality_pu,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_bag_minhash": op9_bag_minhash,
     "op10_fm_dedup": op10_fm_dedup,
 }
 
