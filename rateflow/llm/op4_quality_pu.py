@@ -28,9 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from rateflow.llm import vec
-from rateflow.llm.common import id_and_text, null_ids_back, read, ship, text_chunks
+from rateflow.llm.common import id_and_text, null_ids_back, padded, read, row_groups, ship, text_buffer, text_chunks
 
 #: Documents in the fit's sample at most.
 MAX_POSITIVES, MAX_UNLABELLED = 4000, 6000
@@ -229,6 +230,22 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, score double")
 
 
+def with_scores(docs: DataFrame, model: Model | None, name: str, text_col: str = "text") -> DataFrame:
+    """All columns of every row, and its score as the column ``name``."""
+    ship(docs.sparkSession)
+    text_at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            raw, at = text_buffer(batch.column(text_at))
+            value = [np.zeros(0)]
+            for lo, hi in row_groups(np.diff(at), CHUNK):
+                value.append(model.scores(padded(raw[at[lo] : at[hi]]), at[lo : hi + 1] - at[lo]) if model else np.full(hi - lo, 0.5))
+            yield batch.append_column(name, pa.array(np.concatenate(value), pa.float64()))
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+
+
 def op4_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score of every whole text, learnt outside the fold that is held out."""
     docs = read(spark, sf_dir, "documents")

@@ -158,6 +158,26 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_t
     return id_and_text(docs, id_col, text_col).mapInArrow(run, schema + (", redacted string" if with_text else ""))
 
 
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """All columns of every row, with the secrets of the text replaced; a null text stays null."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def clean(text: str) -> str:
+        base = base_spans(text)
+        spans = base + added_spans(text, base)
+        return redacted(text, spans) if spans else text
+
+    def run(batches):
+        for batch in batches:
+            column = batch.column(at)
+            texts = [clean(t) for _, _, part in text_strings(pa.RecordBatch.from_arrays([column], ["text"])) for t in part]
+            new = pa.array(texts, pa.string(), mask=column.is_null().to_numpy(zero_copy_only=False))
+            yield batch.set_column(at, batch.schema.field(at), new.cast(column.type))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole text of ``documents``."""
     return scan(read(spark, sf_dir, "documents"))

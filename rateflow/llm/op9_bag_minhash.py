@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rateflow.llm import vec
@@ -192,6 +192,32 @@ def near_classes(
     docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(doc_id, cluster_id, kept): each row with the least id of its class of near duplicates."""
+    out = _labelled(docs, threshold, bands, rows, id_col, text_col).select("doc_id", "cluster_id")
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("cluster_id")))
+
+
+def text_digest(text: Column) -> Column:
+    """The node of a text: the digest of its UTF-8 bytes; a null text is an empty one."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of one row of each class: the least (id, text digest), of equal rows any one.
+
+    A null id comes after all others. Rows without words all stay, but for rows equal in id and text.
+    """
+    found = _labelled(docs, threshold, bands, rows, id_col, text_col)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("__id"), F.col("node").alias("__node"))).alias("first")
+    chosen = found.where("n > 0").groupBy("component").agg(first).select("first.__id", "first.__node")
+    wordless = found.where("n = 0").select(F.col("doc_id").alias("__id"), F.col("node").alias("__node")).distinct()
+    own = docs.withColumn("__own", text_digest(docs[text_col]))
+    wanted = chosen.unionByName(wordless)
+    joined = own.join(wanted, own[id_col].cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__node")))
+    return joined.dropDuplicates(["__id", "__node"]).select(*docs.columns)
+
+
+def _labelled(docs: DataFrame, threshold: float, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, node, n, component, cluster_id) of every row; component is null where n is 0."""
     spark = docs.sparkSession
     folder = new_run_folder(spark)
     texts = id_and_text(docs, id_col, text_col)
@@ -206,7 +232,7 @@ def near_classes(
     rank = members.groupBy("node").agg(F.sum("mates").alias("degree"))
     chosen = rank.join(nodes.select("node", "least_id"), "node").select(F.coalesce("least_id", F.lit(-(1 << 63))).alias("chosen_id"), F.col("node").alias("want"))
     source = texts.join(chosen, F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("chosen_id"))
-    source = source.where(F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))) == F.col("want")).select("doc_id", "text")
+    source = source.where(text_digest(F.col("text")) == F.col("want")).select("doc_id", "text")
     sets = materialize(multisets(source).dropDuplicates(["node"]), folder, "sets")
 
     open_rows = members.join(rank, "node").select("key", "node", "n", "degree")
@@ -236,11 +262,10 @@ def near_classes(
         open_rows = here.join(first.select("key", "node"), ["key", "node"], "left_anti").select("key", "node", "n", "degree")
         turn, pivots = turn + 1, PIVOTS
     least = nodes.select("node", "least_id").join(classes, "node")
-    named = least.join(least.groupBy("component").agg(F.min("least_id").alias("class_id")), "component").select("node", "class_id")
-    own = F.when(F.col("n") > 0, F.coalesce("class_id", "least_id")).otherwise(F.col("doc_id"))
-    label = nodes.join(named, "node", "left").select("node", "class_id", "least_id")
-    out = sketches.select("doc_id", "node", "n").join(label, "node", "left").select("doc_id", own.alias("cluster_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("cluster_id")))
+    named = least.join(least.groupBy("component").agg(F.min("least_id").alias("class_id")), "component").select("node", "component", "class_id")
+    label = nodes.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.coalesce("class_id", "least_id").alias("class_id"))
+    out = sketches.select("doc_id", "node", "n").join(label, "node", "left")
+    return out.withColumn("cluster_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id"))).drop("class_id")
 
 
 def op9_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

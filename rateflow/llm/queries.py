@@ -10,6 +10,7 @@ from rateflow.llm.op1_license_scan import op1_license_scan
 from rateflow.llm.op2_suffix_dedup import op2_suffix_dedup
 from rateflow.llm.op3_warc import op3_warc
 from rateflow.llm.op4_quality_pu import op4_quality_pu
+from rateflow.llm.op5_collision_dedup import op5_collision_dedup
 from rateflow.llm.op6_byte_bpe import op6_byte_bpe
 from rateflow.llm.op7_secret_scan import op7_secret_scan
 from rateflow.llm.op8_decontaminate import op8_decontaminate
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_warc": op3_warc,
     "op4_quality_pu": op4_quality_pu,
+    "op5_collision_dedup": op5_collision_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,
     "op8_decontaminate": op8_decontaminate,
