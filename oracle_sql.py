@@ -44,6 +44,23 @@ FEATURES_15 = [
     "avg_noise", "has_WiFi", "checkins", "photo", "avg_user_business_like",
     "business_score", "business_open", "business_price", "avg_weekend_days", "business_attr",
 ]
+EARLIER = {
+    "v8": [
+        "user_avg_rating", "users_review_count", "useful", "funny", "cool",
+        "business_avg_rating", "reviews", "is_open",
+    ],
+    "v9": [
+        "user_avg_rating", "users_review_count", "business_avg_rating", "reviews",
+        "avg_noise", "has_WiFi", "checkins", "photo", "avg_user_business_like",
+    ],
+    "v10": [
+        "user_avg_rating", "users_review_count", "useful", "fans", "business_avg_rating",
+        "reviews", "photo", "checkins", "funny", "cool",
+    ],
+}
+STUMP_FEATURES = ["is_open", "avg_noise", "has_WiFi", "business_price", "avg_weekend_days"]
+MIN_LEAF = 20
+SMALL_PAIRS = [(5, 3), (5, 5), (10, 4)]
 LOOKUPS = {
     "user_avg_rating": "u_average_stars", "users_review_count": "u_review_count",
     "useful": "u_useful", "funny": "u_funny", "cool": "u_cool",
@@ -72,14 +89,18 @@ def i64(expr: str) -> str:
 
 # --- the adapter's inputs, as relations ------------------------------------
 
-def _base(parity: bool = False) -> str:
+def _base(parity: bool = False, gaps: bool = False) -> str:
     wifi = "0" if parity else "p_size % 3"
     friends = (
         "CASE WHEN c_nationkey % 4 = 0 THEN 0 ELSE 1 END"
         if parity
         else "CASE WHEN c_nationkey % 4 = 0 THEN 0 ELSE c_nationkey % 5 + 1 END"
     )
-    counters = ",\n    ".join(f"b % {m} AS {n}" for n, m in USER_COUNTER_MODULI.items())
+    counters = ",\n    ".join(f"(b % {m} + {m}) % {m} AS {n}" for n, m in USER_COUNTER_MODULI.items())
+    # With gaps, some keys have no line: the lookups then fall back on the defaults.
+    parts = f"WHERE p_size <= {LISTED_MAX_SIZE}" if gaps else ""
+    customers = "WHERE c_acctbal >= 0" if gaps else ""
+    photographed = "WHERE l_returnflag = 'R'" if gaps else ""
     return f"""
 rated AS (
   SELECT CAST(o.o_custkey AS VARCHAR) AS user_id,
@@ -108,11 +129,11 @@ biz AS (
          CASE WHEN p_size % 5 = 0 THEN 2
               ELSE 1 + CASE WHEN p_size % 7 + 1 >= 6 THEN 1 ELSE 0 END
                      + CASE WHEN p_size % 7 + 1 >= 7 THEN 1 ELSE 0 END END AS weekend
-  FROM part WHERE p_size <= {LISTED_MAX_SIZE}
+  FROM part {parts}
 ),
 photos AS (
   SELECT CAST(l_partkey AS VARCHAR) AS business_id, count(*) AS photos
-  FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1
+  FROM lineitem {photographed} GROUP BY 1
 ),
 checkins AS (SELECT CAST(l_partkey AS VARCHAR) AS business_id, count(*) AS checkins FROM lineitem GROUP BY 1),
 rivals AS (SELECT postal_code, count(DISTINCT business_id) AS rivals FROM biz GROUP BY 1),
@@ -124,9 +145,9 @@ usr AS (
     {friends} AS friends,
     b % 50 <> 0 AND c_nationkey % 6 <> 5 AS has_counters,
     c_nationkey AS fans,
-    CAST(100 + b % 400 AS DOUBLE) / 100.0 AS average_stars,
+    CAST(100 + (b % 400 + 400) % 400 AS DOUBLE) / 100.0 AS average_stars,
     {counters}
-  FROM (SELECT *, CAST(floor(c_acctbal) AS BIGINT) AS b FROM customer WHERE c_acctbal >= 0) c
+  FROM (SELECT *, CAST(floor(c_acctbal) AS BIGINT) AS b FROM customer {customers}) c
   LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY 1) f
     ON c.c_custkey = f.o_custkey
 ),
@@ -199,8 +220,8 @@ def _defaults_sql(parity: bool) -> str:
     return ", ".join(f"CAST({v} AS DOUBLE) AS d_{k}" for k, v in d.items())
 
 
-def _with(body: str, parity: bool = False) -> str:
-    return f"WITH {_base(parity)}\n{body}"
+def _with(body: str, parity: bool = False, gaps: bool = False) -> str:
+    return f"WITH {_base(parity, gaps)}\n{body}"
 
 
 def _feature_expr(name: str) -> str:
@@ -231,6 +252,7 @@ def _matrix(features: list[str], parity: bool = False) -> str:
 SELECT user_id, business_id, {r6('rating')} AS rating, {r6('label')} AS label, {cols}
 FROM m_train""",
         parity,
+        gaps=True,
     )
 
 
@@ -252,6 +274,7 @@ st AS (SELECT {stats} FROM m_{stats_source})
 SELECT user_id, business_id, {r6('rating')} AS rating, {r6('label')} AS label, {cols}
 FROM m_{source} CROSS JOIN st""",
         parity,
+        gaps=True,
     )
 
 
@@ -259,6 +282,33 @@ def _business_feature(col: str, expr: str | None = None, where: str = "") -> str
     return _with(f"SELECT business_id, {expr or col} AS {col} FROM biz {where}")
 
 
+def _stump() -> str:
+    """A regression stump: of all midpoints between neighbouring values, the split of least squared error.
+
+    Each side keeps MIN_LEAF rows and predicts its mean label.
+    """
+    values = "\nUNION ALL\n".join(f"SELECT {i} AS f, CAST({n} AS DOUBLE) AS v, label FROM m_train" for i, n in enumerate(STUMP_FEATURES))
+    chosen = "CASE f " + " ".join(f"WHEN {i} THEN {n}" for i, n in enumerate(STUMP_FEATURES)) + " END"
+    return _with(
+        f""", {_matrix_cte(STUMP_FEATURES)}, {_matrix_cte(STUMP_FEATURES, "val")},
+sides AS (
+  SELECT f, v, lead(v) OVER w AS next_v, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+         sum(n) OVER (PARTITION BY f) AS n, sum(s) OVER (PARTITION BY f) AS s
+  FROM (SELECT f, v, count(*) AS n, sum(label) AS s FROM ({values}) GROUP BY f, v)
+  WINDOW w AS (PARTITION BY f ORDER BY v)
+),
+best AS (
+  SELECT f, (v + next_v) / 2 AS cut, sl / nl AS mean_left, (s - sl) / (n - nl) AS mean_right
+  FROM sides WHERE next_v IS NOT NULL AND nl >= {MIN_LEAF} AND n - nl >= {MIN_LEAF}
+  ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1
+)
+SELECT user_id, business_id, {r6('label')} AS label,
+       {r6(f'CASE WHEN {chosen} <= cut THEN mean_left ELSE mean_right END')} AS prediction
+FROM m_val CROSS JOIN best""",
+        gaps=True,
+    )
+
+
 MEAN_PRED = "(SELECT avg(label) FROM train)"
 
 
@@ -295,7 +345,7 @@ SELECT CAST(p_partkey AS VARCHAR) AS business_id, p_brand AS postal_code,
        CAST(CASE WHEN p_size % 7 = 0 THEN NULL WHEN p_type = 'SMALL' THEN 3 ELSE 4 END AS BIGINT)
          AS n_attributes,
        p_size % 5 <> 0 AS has_hours
-FROM part WHERE p_size <= {LISTED_MAX_SIZE}"""
+FROM part"""
     q["src_csv_ratings"] = _with(
         f"SELECT user_id, business_id, {r6('rating')} AS rating, {r6('label')} AS label, "
         "CAST(3 AS BIGINT) AS n_fields FROM train"
@@ -305,6 +355,10 @@ FROM part WHERE p_size <= {LISTED_MAX_SIZE}"""
     q["preview_limit"] = _with(
         "SELECT postal_code, CAST(rivals AS BIGINT) AS rivals FROM rivals ORDER BY postal_code LIMIT 10"
     )
+    last = "SELECT user_id, business_id, CAST(t_likes AS BIGINT) AS t_likes FROM tips ORDER BY user_id DESC, business_id DESC LIMIT 1"
+    q["preview_last"] = _with(last)
+    q["preview_fifth_last"] = _with(f"{last} OFFSET 4")
+    q["preview_key"] = _with(f"SELECT business_id, {r6('stars')} AS stars FROM biz WHERE business_id = '1'")
     # per-line features
     q["checkin_total"] = _with("SELECT business_id, CAST(checkins AS BIGINT) AS checkins FROM checkins")
     q["review_projection"] = _with(f"SELECT business_id, user_id, {r6('rating')} AS stars FROM train")
@@ -328,7 +382,6 @@ FROM part WHERE p_size <= {LISTED_MAX_SIZE}"""
     q["user_friend_count"] = _with(f"SELECT user_id, {i64('friends')} AS friends FROM usr")
     q["user_features"] = _with(f"SELECT user_id, {counters_p15} FROM usr WHERE has_counters")
     q["tip_likes"] = _with(f"SELECT user_id, business_id, {i64('t_likes')} AS t_likes FROM tips")
-    q["tip_likes_sum"] = q["tip_likes"]
     q["label_column"] = _with(f"SELECT user_id, business_id, {r6('label')} AS label FROM train")
     # joins
     bcols = ["b_stars", "b_review_count", "b_is_open", "b_noise", "b_wifi", "b_checkins",
@@ -336,22 +389,25 @@ FROM part WHERE p_size <= {LISTED_MAX_SIZE}"""
     q["join_business"] = _with(
         f"SELECT t.user_id, t.business_id, {r6('t.label')} AS label, "
         + ", ".join(f"{r6(c) if c == 'b_stars' else i64(c)} AS {c}" for c in bcols)
-        + " FROM train t LEFT JOIN bdim b ON b.business_id = t.business_id"
+        + " FROM train t LEFT JOIN bdim b ON b.business_id = t.business_id",
+        gaps=True,
     )
     ucols = {"u_age": "d", "u_friends": "i", "u_average_stars": "d", "u_review_count": "i",
              "u_fans": "i", "u_useful": "i", "u_compliment_hot": "i"}
     q["join_user"] = _with(
         f"SELECT t.user_id, t.business_id, {r6('t.label')} AS label, "
         + ", ".join(f"{r6(c) if k == 'd' else i64(c)} AS {c}" for c, k in ucols.items())
-        + " FROM train t LEFT JOIN udim u ON u.user_id = t.user_id"
+        + " FROM train t LEFT JOIN udim u ON u.user_id = t.user_id",
+        gaps=True,
     )
     q["join_tip"] = _with(
         f"SELECT t.user_id, t.business_id, {r6('t.label')} AS label, {i64('tp.t_likes')} AS t_likes "
-        "FROM train t LEFT JOIN tips tp ON tp.user_id = t.user_id AND tp.business_id = t.business_id"
+        "FROM train t LEFT JOIN tips tp ON tp.user_id = t.user_id AND tp.business_id = t.business_id",
+        gaps=True,
     )
-    q["join_rivals"] = _with(f"SELECT business_id, postal_code, {i64('b_rivals')} AS b_rivals FROM bdim")
+    q["join_rivals"] = _with(f"SELECT business_id, postal_code, {i64('b_rivals')} AS b_rivals FROM bdim", gaps=True)
     dcols = [f"d_{f}" for f in FEATURES_32] + ["d_open_days_lines"]
-    q["fill_defaults"] = _with("SELECT " + ", ".join(f"{r6(c)} AS {c}" for c in dcols) + " FROM dflt")
+    q["fill_defaults"] = _with("SELECT " + ", ".join(f"{r6(c)} AS {c}" for c in dcols) + " FROM dflt", gaps=True)
     # aggregates
     q["photo_count"] = _with(f"SELECT business_id, {i64('photos')} AS photos FROM photos")
     q["rivals_per_area"] = _with(f"SELECT postal_code, {i64('rivals')} AS rivals FROM rivals")
@@ -409,8 +465,20 @@ FROM part WHERE p_size <= {LISTED_MAX_SIZE}"""
     q["feature_matrix"] = _matrix(FEATURES_29)
     q["feature_matrix_v32"] = _matrix(FEATURES_32)
     q["feature_matrix_v15"] = _matrix(FEATURES_15)
+    for name, features in EARLIER.items():
+        q[f"feature_matrix_{name}"] = _matrix(features)
     q["feature_matrix_parity"] = _matrix(FEATURES_29, parity=True)
     q["standardize"] = _standardized("train", "train")
     q["standardize_val"] = _standardized("val", "train")
     q["standardize_val_parity"] = _standardized("val", "val", parity=True)
+    # model
+    q["gbt_stump"] = _stump()
+    q["gbt_check"] = _with(
+        "SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_null, true AS not_above_mean FROM val", gaps=True
+    )
+    pairs = ", ".join(f"({rounds}, {depth})" for rounds, depth in SMALL_PAIRS)
+    q["gbt_search_small"] = (
+        f"SELECT CAST(rounds AS BIGINT) AS rounds, CAST(depth AS BIGINT) AS depth, true AS finite, true AS least_if_chosen "
+        f"FROM (VALUES {pairs}) AS p(rounds, depth)"
+    )
     return q

@@ -7,7 +7,7 @@ Layout
 - ``functions`` – column expressions for the per-line features (no UDFs).
 - ``operators`` – dimensions, aggregates, joins with mean defaults, standardiser.
 - ``plans``     – feature matrix, boosted-tree model, evaluation, whole pipeline.
-- ``streaming`` – the same scoring plan over a stream of rating lines.
+- ``llm``       – operators for training-data corpora; nothing else here imports it.
 """
 
 __version__ = "0.1.0"

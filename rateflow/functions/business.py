@@ -19,8 +19,10 @@ TRUE_TEXT = "True"
 
 
 def is_open_flag(is_open: str | Column = "is_open") -> Column:
-    """The ``is_open`` value when truthy, else 0 (absent, ``""``, 0)."""
-    return F.coalesce(as_number(is_open, "int"), F.lit(0))
+    """The ``is_open`` value when truthy, else 0 (absent, ``""``, 0); JSON ``true`` is 1."""
+    text = col(is_open)
+    flag = F.when(text == "true", F.lit("1")).when(text == "false", F.lit("0")).otherwise(text)
+    return F.coalesce(as_number(flag, "int"), F.lit(0))
 
 
 def capability_score(line: str | Column = "value", categories: str | Column = "categories") -> Column:
@@ -75,7 +77,7 @@ def noise_level(attributes: str | Column = "attributes") -> Column:
 def price_range(attributes: str | Column = "attributes") -> Column:
     """``RestaurantsPriceRange2`` as an int, -1 when absent."""
     value = F.try_element_at(col(attributes), F.lit("RestaurantsPriceRange2"))
-    return F.when(value.isNull(), F.lit(PRICE_MISSING)).otherwise(value.cast("int"))
+    return F.when(value.isNull(), F.lit(PRICE_MISSING)).otherwise(as_number(value, "int"))
 
 
 def review_count_value(review_count: str | Column = "review_count") -> Column:

@@ -22,11 +22,17 @@ def blank_to_null(c: str | Column) -> Column:
 
 
 def as_number(c: str | Column, dtype: str = "double") -> Column:
-    """Cast a STRING field to ``dtype`` after mapping ``""`` to NULL.
+    """A STRING field as a number, ``""`` as NULL; whole types take ``10.0`` too.
 
-    A malformed number still fails the job (ANSI cast), as ``int()`` does.
+    A malformed number stops the job, as ``int()`` does, whatever the
+    session's ANSI setting is.
     """
-    return blank_to_null(c).cast(dtype)
+    text = blank_to_null(c)
+    value = text.try_cast("double")
+    if dtype != "double":
+        value = F.coalesce(text.try_cast(dtype), F.when(~F.isnan(value), value).try_cast(dtype))
+    bad = F.raise_error(F.concat(F.lit("not a number: "), text)).cast(dtype)
+    return F.when(text.isNull(), F.lit(None).cast(dtype)).when(value.isNull(), bad).otherwise(value)
 
 
 def has_text(c: str | Column) -> Column:

@@ -16,10 +16,11 @@ from rateflow.functions.business import (
     weekend_days,
     wifi_level,
 )
-from rateflow.functions.missing import has_text
+from rateflow.functions.missing import as_number, has_text
 from rateflow.operators.dedupe import last_value, last_wins
+from rateflow.operators.materialize import materialize, new_run_folder
 from rateflow.sources.json_lines import parse_json_lines
-from rateflow.sources.schemas import BUSINESS, CHECKIN, PHOTO
+from rateflow.sources.schemas import BUSINESS, BUSINESS_KEYS, CHECKIN, CHECKIN_KEYS, PHOTO, PHOTO_KEYS
 from rateflow.sources.text import SEQ
 
 # Per-line business features and the name each takes in the business dimension.
@@ -42,7 +43,7 @@ def business_rows(lines: DataFrame, parity: bool = False) -> DataFrame:
     The file is parsed once; ``hours`` is decoded once per line and shared by
     the open-day and weekend counts.
     """
-    parsed = parse_json_lines(lines, BUSINESS, keep_line=True)
+    parsed = parse_json_lines(lines, BUSINESS, keep_line=True, required=BUSINESS_KEYS)
     staged = parsed.select(
         "business_id",
         "postal_code",
@@ -59,7 +60,7 @@ def business_rows(lines: DataFrame, parity: bool = False) -> DataFrame:
         "business_id",
         "postal_code",
         SEQ,
-        F.when(has_text("stars_text"), F.col("stars_text").cast("double")).alias("stars"),
+        F.when(has_text("stars_text"), as_number("stars_text")).alias("stars"),
         review_count_value("review_count").alias("review_count"),
         is_open_flag("is_open").alias("is_open"),
         capability_score("value", "categories").alias("attr_score"),
@@ -86,13 +87,13 @@ def business_feature(rows: DataFrame, feature: str) -> DataFrame:
 
 def photo_count(lines: DataFrame) -> DataFrame:
     """Photos per business."""
-    photos = parse_json_lines(lines, PHOTO)
+    photos = parse_json_lines(lines, PHOTO, required=PHOTO_KEYS)
     return photos.groupBy("business_id").agg(F.count(F.lit(1)).alias("photos"))
 
 
 def checkin_rows(lines: DataFrame) -> DataFrame:
     """Total of the check-in map per line; lines with an empty map are skipped."""
-    parsed = parse_json_lines(lines, CHECKIN)
+    parsed = parse_json_lines(lines, CHECKIN, required=CHECKIN_KEYS)
     total = F.aggregate(F.map_values("time"), F.lit(0).cast("bigint"), lambda acc, x: acc + x)
     return parsed.filter(F.size("time") > 0).select("business_id", total.alias("checkins"), SEQ)
 
@@ -113,14 +114,33 @@ def rivals_per_area(rows: DataFrame) -> DataFrame:
 
 
 def open_days_imputed(rows: DataFrame) -> DataFrame:
-    """P12 + A08: open-day count, with 0 replaced by the mean over all lines (zeros included)."""
-    mean_rows = rows.agg(F.avg("open_days")).first()[0]
-    per_key = last_wins(rows, "business_id", ["open_days"])
-    return per_key.select(
-        "business_id",
-        F.when(F.col("open_days") == 0, F.lit(mean_rows))
-        .otherwise(F.col("open_days").cast("double"))
-        .alias("open_days"),
+    """P12 + A08: open-day count, with 0 replaced by the mean over all lines (zeros included).
+
+    The file is parsed and reduced once: the per-business last value, sum and
+    line count are stored, and the mean over lines is one row of that table.
+    """
+    folder = new_run_folder(rows)
+    per_key = rows.groupBy("business_id").agg(
+        last_value("open_days").alias("last"), F.sum("open_days").alias("total"), F.count("open_days").alias("n")
+    )
+    per_key = materialize(per_key, folder, "open_days")
+    mean = per_key.agg((F.sum("total") / F.sum("n")).alias("mean")).first()["mean"]
+    days = F.col("last").cast("double")
+    return per_key.select("business_id", F.when(days == 0, F.lit(mean)).otherwise(days).alias("open_days"))
+
+
+def area_lookup(rows: DataFrame, photo_lines: DataFrame, checkin_lines: DataFrame) -> DataFrame:
+    """``business_id, postal_code, b_rivals`` of every business that any source names.
+
+    business.json is read twice, once for the counts per area and once for the
+    lines that look them up; both columns are then reduced together.
+    """
+    attached = attach_rivals(rows, rivals_per_area(rows)).select("business_id", "postal_code", "line_rivals", SEQ)
+    photos = parse_json_lines(photo_lines, PHOTO, required=PHOTO_KEYS).select("business_id")
+    checkins = checkin_rows(checkin_lines).select("business_id")
+    stacked = attached.unionByName(photos.unionByName(checkins), allowMissingColumns=True)
+    return stacked.groupBy("business_id").agg(
+        last_value("postal_code").alias("postal_code"), last_value("line_rivals").alias("b_rivals")
     )
 
 
@@ -157,7 +177,7 @@ def business_dim(rows: DataFrame, photo_lines: DataFrame, checkin_lines: DataFra
         F.when(review_count_kept(), F.col(SEQ)).alias("rc_seq"),
         F.col("open_days").alias("od_line"),
     )
-    photos = parse_json_lines(photo_lines, PHOTO).select("business_id", F.lit(1).alias("ph"))
+    photos = parse_json_lines(photo_lines, PHOTO, required=PHOTO_KEYS).select("business_id", F.lit(1).alias("ph"))
     checkins = checkin_rows(checkin_lines).select(
         "business_id", F.col("checkins").alias("ck"), F.col(SEQ).alias("ck_seq")
     )

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from rateflow.functions.missing import as_number, has_text, truthy_number
 from rateflow.sources.json_lines import parse_json_lines
-from rateflow.sources.schemas import REVIEW, TIP
+from rateflow.sources.schemas import REVIEW, REVIEW_KEYS, TIP, TIP_KEYS
 
 
 def review_projection(lines: DataFrame) -> DataFrame:
     """``business_id, stars`` of reviews whose ids and stars are all truthy."""
-    reviews = parse_json_lines(lines, REVIEW)
+    reviews = parse_json_lines(lines, REVIEW, required=REVIEW_KEYS)
     kept = reviews.filter(
         has_text("business_id") & has_text("user_id") & truthy_number("stars")
     )
@@ -25,7 +25,7 @@ def tip_likes(lines: DataFrame) -> DataFrame:
     ``sum`` is reduced per task before the shuffle, so a hot pair moves one
     partial sum per task.
     """
-    tips = parse_json_lines(lines, TIP)
+    tips = parse_json_lines(lines, TIP, required=TIP_KEYS)
     likes = F.when(truthy_number("likes", "bigint"), as_number("likes", "bigint")).otherwise(F.lit(0))
     return tips.groupBy("user_id", "business_id").agg(F.sum(likes).alias("t_likes"))
 

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest dimension broadcast to every task, in estimated in-memory bytes.
+# Largest dimension broadcast to every task: rows counted, times an upper estimate of a row's width.
 BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 
-# Feature column -> dimension column it is looked up from.
+# Feature column -> dimension column it is looked up from.
 LOOKUPS = {
     "user_avg_rating": "u_average_stars",
     "users_review_count": "u_review_count",
@@ -60,7 +60,7 @@ def row_bytes(schema: T.StructType) -> int:
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when its measured size fits, else leave it to a shuffle join.
+    """Broadcast ``df`` only when its counted rows, at an estimated width, fit; else leave it to a shuffle join.
 
     Runs a count, so call it on a materialised (checkpointed) frame. Without
     this check the planner still broadcasts a side only when AQE measures its

@@ -2,17 +2,45 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from rateflow.session import ensure_checkpoint_dir
 
 
+# Run folders made by this process and not yet removed.
+_OPEN: dict[str, SparkSession] = {}
+
+
 def new_run_folder(df_or_spark) -> str:
-    """A fresh folder for one run's tables under the session's checkpoint folder."""
+    """A fresh folder for one run's tables under the session's checkpoint folder.
+
+    It lives until ``remove_run_folders`` names it, or until this process
+    ends: frames returned to a caller read from it.
+    """
     spark = getattr(df_or_spark, "sparkSession", df_or_spark)
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/rateflow-{uuid.uuid4().hex}"
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rateflow-{uuid.uuid4().hex}"
+    _OPEN[folder] = spark
+    return folder
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def remove_run_folders(*folders: str) -> None:
+    """Remove the given run folders, or all that this process has open."""
+    for folder in folders or list(_OPEN):
+        spark = _OPEN.pop(folder, None)
+        if spark is not None and spark.sparkContext._jsc is not None:
+            remove_folder(spark, folder)
+
+
+atexit.register(remove_run_folders)
 
 
 def materialize(df: DataFrame, folder: str, name: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Every mean is a one-row aggregate over a de-duplicated dimension (one value
 per key, as the job's dicts hold), except A08, which is over business.json
-lines. Nothing is collected: the one-row frames are broadcast into the fill.
+lines. Only these one-row results reach the driver, where they become literals of the fill.
 """
 
 from __future__ import annotations

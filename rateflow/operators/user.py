@@ -16,7 +16,7 @@ from rateflow.functions.user import (
 )
 from rateflow.operators.dedupe import last_value
 from rateflow.sources.json_lines import parse_json_lines
-from rateflow.sources.schemas import USER, USER_COUNTERS
+from rateflow.sources.schemas import USER, USER_COUNTERS, USER_KEYS
 from rateflow.sources.text import SEQ
 
 
@@ -26,7 +26,7 @@ def user_rows(lines: DataFrame, as_of: dt.date | str = DEFAULT_AS_OF, parity: bo
     ``counters`` is NULL for lines failing P15's filter; such users keep their
     age and friend count.
     """
-    parsed = parse_json_lines(lines, USER)
+    parsed = parse_json_lines(lines, USER, required=USER_KEYS)
     return parsed.select(
         "user_id",
         SEQ,

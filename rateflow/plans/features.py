@@ -39,7 +39,7 @@ FEATURES_32 = [
     "user_yelping_age", "business_open", "business_price", "avg_weekend_days",
     "business_attr",
 ]
-# Earlier vectors the job kept as comments.
+# Earlier vectors the job kept as comments.
 FEATURE_SETS = {
     "v29": FEATURES_29,
     "v32": FEATURES_32,

@@ -18,12 +18,16 @@ from rateflow.plans.features import (
     train_ratings,
     val_ratings,
 )
-from rateflow.plans.model import DEPTH, ROUNDS, SEED, fit_gbt, predict
-from rateflow.operators.materialize import materialize, new_run_folder, spread_for_compute
+from rateflow.plans.model import DEPTH, MAX_BINS, ROUNDS, SEED, fit_gbt, predict, search
+from rateflow.operators.materialize import materialize, new_run_folder, remove_folder, remove_run_folders, spread_for_compute
 from rateflow.sources.inputs import Inputs, inputs_from_folder
 from rateflow.sources.sink import write_predictions
 
 
+# Tables under the run's folder that only this run reads.
+TABLES = ("area_dim", "business_dim", "user_dim", "tip_dim", "train_matrix", "val_matrix")
+
+
 @dataclass
 class PipelineResult:
     rmse: float
@@ -34,6 +38,12 @@ class PipelineResult:
     seconds: float
     stages: dict[str, float] = field(default_factory=dict)
     trees: int = 0
+    tried: list[tuple[int, int, float]] = field(default_factory=list)
+    folder: str = ""
+
+    def close(self) -> None:
+        """Remove the run's folder; ``predictions`` can no longer be read."""
+        remove_run_folders(self.folder)
 
 
 def run_pipeline(
@@ -49,13 +59,17 @@ def run_pipeline(
     max_iter: int = ROUNDS,
     max_depth: int = DEPTH,
     seed: int = SEED,
-    early_stopping: bool = False,
+    max_bins: int = MAX_BINS,
+    search_pairs: list[tuple[int, int]] | None = None,
+    keep_tables: bool = False,
 ) -> PipelineResult:
     """Run the job end to end and return its metrics.
 
     ``inputs`` replaces ``input_dir``/``val_path`` (e.g. the test-table
-    adapter). ``early_stopping`` holds out 10% of the training rows and stops
-    adding trees once their loss no longer improves.
+    adapter). With ``search_pairs`` (``model.SEARCH_PAIRS`` are the job's) the
+    best (rounds, depth) pair is used instead of ``max_iter`` and ``max_depth``.
+    The dimensions and matrices are removed at the end unless ``keep_tables``;
+    the predictions stay until ``close()`` or the end of the process.
     Only the RMSE row and the five histogram rows reach the driver;
     predictions are written by the executors.
     """
@@ -76,9 +90,12 @@ def run_pipeline(
     train, val = standardize(spread_for_compute(train), spread_for_compute(val), cols, parity)
     stages["features"] = time.time() - start - sum(stages.values())
 
-    model = fit_gbt(
-        train, cols, max_iter=max_iter, max_depth=max_depth, seed=seed, early_stopping=early_stopping
-    )
+    tried: list[tuple[int, int, float]] = []
+    if search_pairs:
+        found = search(train, cols, search_pairs, seed, max_bins)
+        model, tried = found.model, found.tried
+    else:
+        model = fit_gbt(train, cols, max_iter, max_depth, seed, max_bins)
     stages["fit"] = time.time() - start - sum(stages.values())
 
     predictions = materialize(predict(model, val), folder, "predictions")
@@ -87,6 +104,9 @@ def run_pipeline(
     if out_path:
         write_predictions(predictions, out_path)
     stages["evaluate"] = time.time() - start - sum(stages.values())
+    if not keep_tables:
+        for name in TABLES:
+            remove_folder(spark, f"{folder}/{name}")
     return PipelineResult(
         rmse=float(metrics["rmse"]) if metrics["rmse"] is not None else float("nan"),
         n_val=int(metrics["n"]),
@@ -96,4 +116,6 @@ def run_pipeline(
         seconds=time.time() - start,
         stages=stages,
         trees=model.stages[-1].getNumTrees,
+        tried=tried,
+        folder=folder,
     )

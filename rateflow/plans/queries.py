@@ -1,7 +1,8 @@
 """Named queries over a scale-factor folder of test tables, one per operator.
 
-Each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables.
-Most are lazy plans; the feature-matrix and model queries first store the
+Each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables;
+the lookups and what is built on them (``join_*``, ``fill_defaults``, matrices,
+model) read the adapter's variant with missing keys. Most are lazy plans; the feature-matrix and model queries first store the
 dimensions (they are read twice: for the defaults and for the lookups) and
 read one aggregate row of defaults. ``canonical`` gives every result the
 same presentation as the DuckDB oracle: integers as BIGINT, doubles rounded
@@ -10,6 +11,7 @@ to 6 places.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +23,7 @@ from rateflow.operators import interactions as ix
 from rateflow.operators import stats
 from rateflow.operators import user as usr
 from rateflow.operators.joins import lookup
-from rateflow.operators.materialize import new_run_folder, spread_for_compute
+from rateflow.operators.materialize import materialize, new_run_folder, spread_for_compute
 from rateflow.operators.standardize import standardize
 from rateflow.plans import evaluate
 from rateflow.plans.features import (
@@ -32,21 +34,24 @@ from rateflow.plans.features import (
     train_ratings,
     val_ratings,
 )
-from rateflow.plans.model import assembler, fit_gbt, predict, search
-from rateflow.sources.csv_ratings import parse_rating_lines, val_frame
+from rateflow.plans.model import fit_gbt, predict, search
+from rateflow.sources.csv_ratings import parse_rating_lines, rated_rows, val_frame
 from rateflow.sources.inputs import Inputs
 from rateflow.sources.json_lines import parse_json_lines
-from rateflow.sources.schemas import BUSINESS
-from rateflow.sources.sink import prediction_frame
-from rateflow.sources.tables import inputs_from_tables
+from rateflow.sources.schemas import BUSINESS, BUSINESS_KEYS
+from rateflow.sources.sink import write_predictions
+from rateflow.sources.tables import inputs_from_tables, rating_file
+from rateflow.sources.text import read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Small model settings for the registered model queries; the job's own
-# 200 x 9 runs through ``run_pipeline``.
+# Small model settings of the queries named *_small and of gbt_check; the job's
+# own 200 x 9 and its search pairs run through ``run_pipeline``.
 QUERY_ROUNDS = 10
 QUERY_DEPTH = 5
-QUERY_PAIRS = [(5, 3), (5, 5), (10, 4), (10, 5), (20, 5)]
+QUERY_PAIRS = [(5, 3), (5, 5), (10, 4)]
+# Features of few distinct values: a stump over them has every split as a candidate.
+STUMP_FEATURES = ["is_open", "avg_noise", "has_WiFi", "business_price", "avg_weekend_days"]
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -62,8 +67,8 @@ def canonical(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    return inputs_from_tables(spark, sf_dir)
+def _inputs(spark: SparkSession, sf_dir: str, gaps: bool = False) -> Inputs:
+    return inputs_from_tables(spark, sf_dir, gaps)
 
 
 def _business_rows(spark, sf_dir, parity=False):
@@ -76,12 +81,16 @@ def _user_rows(spark, sf_dir, parity=False):
 
 # --- sources and sinks -----------------------------------------------------
 
+def _rating_lines(spark, sf_dir, which):
+    return read_lines(spark, rating_file(spark, sf_dir, new_run_folder(spark), which))
+
+
 def src_text_lines(spark, sf_dir):
-    return _inputs(spark, sf_dir).train
+    return _rating_lines(spark, sf_dir, "train").select("value")
 
 
 def src_json_parse(spark, sf_dir):
-    parsed = parse_json_lines(_inputs(spark, sf_dir).business, BUSINESS)
+    parsed = parse_json_lines(_inputs(spark, sf_dir).business, BUSINESS, required=BUSINESS_KEYS)
     return parsed.select(
         "business_id", "postal_code", "stars", "review_count", "is_open", "categories",
         F.size("attributes").alias("n_attributes"),
@@ -90,13 +99,11 @@ def src_json_parse(spark, sf_dir):
 
 
 def src_csv_ratings(spark, sf_dir):
-    inp = _inputs(spark, sf_dir)
-    return parse_rating_lines(inp.train, inp.train_header)
+    return parse_rating_lines(_rating_lines(spark, sf_dir, "train"))
 
 
 def q_val_frame(spark, sf_dir):
-    inp = _inputs(spark, sf_dir)
-    return val_frame(inp.val, inp.val_header)
+    return val_frame(_rating_lines(spark, sf_dir, "val"))
 
 
 def _mean_predictions(spark, sf_dir):
@@ -105,13 +112,27 @@ def _mean_predictions(spark, sf_dir):
 
 
 def sink_predictions(spark, sf_dir):
-    return prediction_frame(_mean_predictions(spark, sf_dir))
+    path = f"{new_run_folder(spark)}/predictions"
+    write_predictions(_mean_predictions(spark, sf_dir), path)
+    return spark.read.option("header", True).schema("user_id string, business_id string, prediction double").csv(path)
 
 
 def preview_limit(spark, sf_dir):
     return evaluate.preview(biz.rivals_per_area(_business_rows(spark, sf_dir)), ["postal_code"], 10)
 
 
+def preview_last(spark, sf_dir):
+    return evaluate.preview_from_end(_dims(spark, sf_dir).tips, ["user_id", "business_id"])
+
+
+def preview_fifth_last(spark, sf_dir):
+    return evaluate.preview_from_end(_dims(spark, sf_dir).tips, ["user_id", "business_id"], 5)
+
+
+def preview_key(spark, sf_dir):
+    return evaluate.preview_key(biz.business_feature(_business_rows(spark, sf_dir), "stars"), "business_id", "1")
+
+
 # --- per-line features -----------------------------------------------------
 
 def _business_feature(name):
@@ -162,16 +183,22 @@ def rivals_per_area(spark, sf_dir):
     return biz.rivals_per_area(_business_rows(spark, sf_dir))
 
 
+def _body_ratings(spark, sf_dir):
+    """Every rated line of the training file, ratings of 0.0 included."""
+    inp = _inputs(spark, sf_dir)
+    return rated_rows(parse_rating_lines(inp.train, inp.train_header))
+
+
 def rating_var_business(spark, sf_dir):
-    return ix.rating_variance(train_ratings(_inputs(spark, sf_dir)), "business_id")
+    return ix.rating_variance(_body_ratings(spark, sf_dir), "business_id")
 
 
 def rating_var_user(spark, sf_dir):
-    return ix.rating_variance(train_ratings(_inputs(spark, sf_dir)), "user_id")
+    return ix.rating_variance(_body_ratings(spark, sf_dir), "user_id")
 
 
 def rating_mean_group(spark, sf_dir):
-    return ix.rating_mean_group(train_ratings(_inputs(spark, sf_dir)), "business_id")
+    return ix.rating_mean_group(_body_ratings(spark, sf_dir), "business_id")
 
 
 def review_count_user(spark, sf_dir):
@@ -179,7 +206,7 @@ def review_count_user(spark, sf_dir):
 
 
 def user_rating_list(spark, sf_dir):
-    return ix.user_rating_list(train_ratings(_inputs(spark, sf_dir)))
+    return ix.user_rating_list(_body_ratings(spark, sf_dir))
 
 
 def feature_domain(spark, sf_dir):
@@ -189,8 +216,8 @@ def feature_domain(spark, sf_dir):
     )
 
 
-def _dims(spark, sf_dir, parity=False):
-    return build_dimensions(_inputs(spark, sf_dir), parity=parity)
+def _dims(spark, sf_dir, parity=False, gaps=False):
+    return build_dimensions(_inputs(spark, sf_dir, gaps), parity=parity)
 
 
 def user_means(spark, sf_dir):
@@ -206,7 +233,7 @@ def tip_mean(spark, sf_dir):
 
 
 def variance_means(spark, sf_dir):
-    train = train_ratings(_inputs(spark, sf_dir))
+    train = _body_ratings(spark, sf_dir)
     return stats.variance_means(ix.rating_variance(train, "user_id"), ix.rating_variance(train, "business_id"))
 
 
@@ -217,7 +244,7 @@ def rivals_mean(spark, sf_dir):
 # --- joins -----------------------------------------------------------------
 
 def _joined(spark, sf_dir):
-    inp = _inputs(spark, sf_dir)
+    inp = _inputs(spark, sf_dir, gaps=True)
     dims = build_dimensions(inp)
     return lookup(train_ratings(inp).drop("n_fields"), dims.business, dims.user, dims.tips)
 
@@ -239,24 +266,21 @@ def join_tip(spark, sf_dir):
 
 
 def join_rivals(spark, sf_dir):
-    inp = _inputs(spark, sf_dir)
-    rows = biz.business_rows(inp.business)
-    areas = biz.business_feature(rows, "postal_code")
-    dim = build_dimensions(inp).business.select("business_id", "b_rivals")
-    return dim.join(areas, "business_id", "left").select("business_id", "postal_code", "b_rivals")
+    inp = _inputs(spark, sf_dir, gaps=True)
+    return biz.area_lookup(biz.business_rows(inp.business), inp.photo, inp.checkin)
 
 
 def fill_defaults(spark, sf_dir):
-    return _dims(spark, sf_dir).defaults
+    return _dims(spark, sf_dir, gaps=True).defaults
 
 
 # --- feature matrix, scaling, evaluation ------------------------------------
 
 def _stored(spark, sf_dir, parity=False):
     """Inputs and dimensions stored once, shared by the train and validation matrices."""
-    inp = _inputs(spark, sf_dir)
-    dims = materialize_dimensions(inp, new_run_folder(spark), parity=parity)
-    return inp, dims
+    folder = new_run_folder(spark)
+    inp = inputs_from_tables(spark, sf_dir, gaps=True, folder=folder)
+    return inp, materialize_dimensions(inp, folder, parity=parity)
 
 
 def _matrix(stored, features="v29", which="train"):
@@ -273,8 +297,10 @@ def feature_matrix_v32(spark, sf_dir):
     return _matrix(_stored(spark, sf_dir), "v32")
 
 
-def feature_matrix_v15(spark, sf_dir):
-    return _matrix(_stored(spark, sf_dir), "v15")
+def _earlier_matrix(features):
+    def q(spark, sf_dir):
+        return _matrix(_stored(spark, sf_dir), features)
+    return q
 
 
 def feature_matrix_parity(spark, sf_dir):
@@ -304,30 +330,55 @@ def eval_error_hist(spark, sf_dir):
     return evaluate.error_histogram(_mean_predictions(spark, sf_dir))
 
 
-def _scaled(spark, sf_dir):
-    stored = _stored(spark, sf_dir)
-    return standardize(_matrix(stored), _matrix(stored, which="val"), FEATURES_29)
+def _model_frames(spark, sf_dir, features=FEATURES_29):
+    """Scaled training and validation matrices, each stored before anything reads it twice."""
+    stored, folder = _stored(spark, sf_dir), new_run_folder(spark)
+    train = materialize(_matrix(stored, features), folder, "train_matrix")
+    val = materialize(_matrix(stored, features, "val"), folder, "val_matrix")
+    return standardize(spread_for_compute(train), spread_for_compute(val), features)
+
+
+def _small_model(spark, sf_dir):
+    train, val = _model_frames(spark, sf_dir)
+    return fit_gbt(train, FEATURES_29, max_iter=QUERY_ROUNDS, max_depth=QUERY_DEPTH), train, val
 
 
-def _gbt_predictions(spark, sf_dir):
-    train, val = _scaled(spark, sf_dir)
-    model = fit_gbt(spread_for_compute(train), FEATURES_29, max_iter=QUERY_ROUNDS, max_depth=QUERY_DEPTH)
-    return predict(model, val)
+def gbt_predictions_small(spark, sf_dir):
+    model, _, val = _small_model(spark, sf_dir)
+    return predict(model, val).select("user_id", "business_id", "label", "prediction")
 
 
-def gbt_predictions(spark, sf_dir):
-    return _gbt_predictions(spark, sf_dir).select("user_id", "business_id", "label", "prediction")
+def gbt_error_hist_small(spark, sf_dir):
+    model, _, val = _small_model(spark, sf_dir)
+    return evaluate.error_histogram(predict(model, val))
+
+
+def gbt_stump(spark, sf_dir):
+    """One round of depth 1: a regression stump, which SQL can compute."""
+    stored = _stored(spark, sf_dir)
+    train = spread_for_compute(materialize(_matrix(stored, STUMP_FEATURES), new_run_folder(spark), "train_matrix"))
+    model = fit_gbt(train, STUMP_FEATURES, max_iter=1, max_depth=1)
+    return predict(model, _matrix(stored, STUMP_FEATURES, "val")).select("user_id", "business_id", "label", "prediction")
 
 
-def gbt_error_hist(spark, sf_dir):
-    return evaluate.error_histogram(_gbt_predictions(spark, sf_dir))
+def gbt_check(spark, sf_dir):
+    """One row: predictions made, null ones, and whether training RMSE is not above the mean predictor's."""
+    model, train, val = _small_model(spark, sf_dir)
+    own = evaluate.rmse(predict(model, train)).first()["rmse"]
+    mean = evaluate.rmse(evaluate.mean_predictor(train, train)).first()["rmse"]
+    return predict(model, val).agg(
+        F.count("*").alias("n"), F.count_if(F.col("prediction").isNull()).alias("n_null"),
+        F.lit(own <= mean).alias("not_above_mean"),
+    )
 
 
-def gbt_grid(spark, sf_dir):
-    train, val = _scaled(spark, sf_dir)
-    tvs = search(spread_for_compute(train), FEATURES_29, pairs=QUERY_PAIRS)
-    best = tvs.bestModel.transform(assembler(FEATURES_29).transform(val))
-    return best.select("user_id", "business_id", "label", "prediction")
+def gbt_search_small(spark, sf_dir):
+    """The search over small pairs: each pair, whether it has a finite RMSE, and whether the chosen one has the least."""
+    train, _ = _model_frames(spark, sf_dir)
+    found = search(train, FEATURES_29, QUERY_PAIRS)
+    best = min(r for _, _, r in found.tried)
+    rows = [(rounds, depth, math.isfinite(r), (rounds, depth) != found.best or r == best) for rounds, depth, r in found.tried]
+    return spark.createDataFrame(rows, "rounds bigint, depth bigint, finite boolean, least_if_chosen boolean")
 
 
 QUERIES: dict[str, Query] = {
@@ -338,6 +389,9 @@ QUERIES: dict[str, Query] = {
     "val_frame": q_val_frame,
     "sink_predictions": sink_predictions,
     "preview_limit": preview_limit,
+    "preview_last": preview_last,
+    "preview_fifth_last": preview_fifth_last,
+    "preview_key": preview_key,
     # per-line features
     "checkin_total": checkin_total,
     "review_projection": review_projection,
@@ -367,7 +421,6 @@ QUERIES: dict[str, Query] = {
     "rivals_per_area": rivals_per_area,
     "rating_var_business": rating_var_business,
     "rating_var_user": rating_var_user,
-    "tip_likes_sum": tip_likes,
     "feature_domain": feature_domain,
     "user_means": user_means,
     "business_means": business_means,
@@ -382,12 +435,17 @@ QUERIES: dict[str, Query] = {
     # features and model
     "feature_matrix": q_feature_matrix,
     "feature_matrix_v32": feature_matrix_v32,
-    "feature_matrix_v15": feature_matrix_v15,
+    "feature_matrix_v15": _earlier_matrix("v15"),
+    "feature_matrix_v10": _earlier_matrix("v10"),
+    "feature_matrix_v9": _earlier_matrix("v9"),
+    "feature_matrix_v8": _earlier_matrix("v8"),
     "feature_matrix_parity": feature_matrix_parity,
     "standardize": q_standardize,
     "standardize_val": standardize_val,
     "standardize_val_parity": standardize_val_parity,
-    "gbt_predictions": gbt_predictions,
-    "gbt_error_hist": gbt_error_hist,
-    "gbt_grid": gbt_grid,
+    "gbt_stump": gbt_stump,
+    "gbt_check": gbt_check,
+    "gbt_search_small": gbt_search_small,
+    "gbt_predictions_small": gbt_predictions_small,
+    "gbt_error_hist_small": gbt_error_hist_small,
 }

@@ -14,6 +14,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     # JSON objects with a repeated key keep the last value, as json.loads does.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
@@ -21,19 +22,26 @@ SESSION_DEFAULTS = {
 
 def build_session(
     master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "rateflow",
     extra: dict | None = None,
 ) -> SparkSession:
-    """Session for tests and the bench: UI off, AQE on, small shuffle width."""
+    """Session with the UI off and AQE on.
+
+    The shuffle width is the given one; else 8 for a local master, and Spark's
+    or the cluster's own setting for any other.
+    """
+    if shuffle_partitions is None and master.startswith("local"):
+        shuffle_partitions = 8
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
     )
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rateflow.functions.missing import as_number
 from rateflow.sources.text import first_line
 
 
@@ -45,8 +46,8 @@ def parse_rating_lines(lines: DataFrame, header: str | None = None) -> DataFrame
     return lines.filter(_is_body(header)).select(
         F.try_element_at(fields, F.lit(1)).alias("user_id"),
         F.try_element_at(fields, F.lit(2)).alias("business_id"),
-        _guarded(F.when(n > 2, F.element_at(fields, 3).cast("double")), header).alias("rating"),
-        _guarded(F.when(n > 2, F.element_at(fields, -1).cast("double")), header).alias("label"),
+        _guarded(F.when(n > 2, as_number(F.try_element_at(fields, F.lit(3)))), header).alias("rating"),
+        _guarded(F.when(n > 2, as_number(F.try_element_at(fields, F.lit(-1)))), header).alias("label"),
         n.alias("n_fields"),
     )
 
@@ -63,12 +64,21 @@ def training_rows(ratings: DataFrame) -> DataFrame:
     )
 
 
+def rated_rows(ratings: DataFrame) -> DataFrame:
+    """Rows with a third field, a rating of 0.0 included: what the variances and means run on."""
+    return ratings.filter(F.col("n_fields") > 2)
+
+
 def val_frame(lines: DataFrame, header: str | None = None) -> DataFrame:
-    """``user_id, business_id, original_rating`` for every validation line."""
+    """``user_id, business_id, original_rating`` for every validation line.
+
+    A line without a third field has no original rating (NULL); it is
+    predicted, but counts in no metric.
+    """
     header = _resolve_header(lines, header)
     fields = F.split(F.col("value"), ",")
     return lines.filter(_is_body(header)).select(
-        F.element_at(fields, 1).alias("user_id"),
-        F.element_at(fields, 2).alias("business_id"),
-        _guarded(F.element_at(fields, 3).cast("double"), header).alias("original_rating"),
+        F.try_element_at(fields, F.lit(1)).alias("user_id"),
+        F.try_element_at(fields, F.lit(2)).alias("business_id"),
+        _guarded(as_number(F.try_element_at(fields, F.lit(3))), header).alias("original_rating"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,19 +11,29 @@ from rateflow.sources.text import SEQ, read_order
 CORRUPT = "_corrupt_record"
 
 
+def _checked(field: str) -> Column:
+    """A required field of the record; stops the job if its key is absent (a null value is allowed)."""
+    value = F.col(f"_rec.{field}")
+    present = F.array_contains(F.json_object_keys(F.col("_json")), F.lit(field))
+    absent = F.raise_error(F.concat(F.lit(f"no key {field}: "), F.col("_json")))
+    return F.when(value.isNull() & ~F.coalesce(present, F.lit(False)), absent).otherwise(value).alias(field)
+
+
 def parse_json_lines(
     lines: DataFrame,
     schema: T.StructType,
     mode: str = "FAILFAST",
     keep_line: bool = False,
+    required: tuple[str, ...] = (),
 ) -> DataFrame:
     """Parse ``value`` lines into the columns of ``schema``.
 
     Every single quote is deleted from the line before parsing, as the job
-    does. ``FAILFAST`` stops the job on a malformed line; ``PERMISSIVE`` keeps
-    going and puts the bad line in ``_corrupt_record``. ``keep_line`` keeps
-    the raw line (``value``) next to the fields; a read-order column ``_seq``
-    is always added for last-wins de-duplication.
+    does. ``FAILFAST`` stops the job on a malformed or blank line and on a
+    line without a ``required`` key; ``PERMISSIVE`` keeps going and puts the
+    bad line in ``_corrupt_record``. ``keep_line`` keeps the raw line
+    (``value``) next to the fields; a read-order column ``_seq`` is always
+    added for last-wins de-duplication.
     """
     mode = mode.upper()
     options = {"mode": mode}
@@ -32,8 +42,12 @@ def parse_json_lines(
         options["columnNameOfCorruptRecord"] = CORRUPT
     elif mode != "FAILFAST":
         raise ValueError(f"unsupported mode {mode!r}")
-    record = F.from_json(F.translate(F.col("value"), "'", ""), schema, options)
-    keep = [F.col("value")] if keep_line else []
-    parsed = lines.select(record.alias("_rec"), *keep, read_order())
+    strict = mode == "FAILFAST"
+    text = F.translate(F.col("value"), "'", "")
+    if strict:
+        text = F.when(F.trim(text) == "", F.raise_error(F.lit("blank line"))).otherwise(text)
+    staged = lines.select(text.alias("_json"), "value", read_order(lines))
+    parsed = staged.select(F.from_json("_json", schema, options).alias("_rec"), "_json", "value", SEQ)
     extra = ["value"] if keep_line else []
-    return parsed.select("_rec.*", *extra, SEQ)
+    fields = [_checked(f.name) if strict and f.name in required else F.col(f"_rec.{f.name}") for f in schema.fields]
+    return parsed.select(*fields, *extra, SEQ)

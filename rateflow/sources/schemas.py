@@ -41,5 +41,13 @@ TIP = T.StructType(_strings("user_id", "business_id", "likes"))
 
 REVIEW = T.StructType(_strings("user_id", "business_id", "stars"))
 
+# Keys the job reads from every line without asking whether they are there.
+BUSINESS_KEYS = ("business_id", "stars", "postal_code", "review_count", "attributes")
+USER_KEYS = ("user_id",)
+PHOTO_KEYS = ("business_id",)
+CHECKIN_KEYS = ("business_id", "time")
+TIP_KEYS = ("user_id", "business_id")
+REVIEW_KEYS = ("user_id", "business_id", "stars")
+
 # Header line of the ratings CSV files written by the test adapter.
 RATINGS_HEADER = "user_id,business_id,stars"

@@ -9,14 +9,18 @@ Mapping (mirrored by the DuckDB oracle in ``oracle_sql.py``):
 - ratings: one row per ``lineitem ⋈ orders``; user = ``o_custkey``, business =
   ``l_partkey``, stars = ``1 + l_quantity % 5``. Orders dated before
   ``SPLIT_DATE`` form the training file, the rest the validation file.
-- business.json: one line per part with ``p_size <= LISTED_MAX_SIZE`` (larger
-  parts are unlisted, so some ratings hit the mean defaults); area = ``p_brand``.
-- user.json: one line per customer with a non-negative balance (the others
-  have no profile); ``yelping_since`` = date of the customer's first order.
-- photo.json: one line per returned line item (``l_returnflag = 'R'``).
+- business.json: one line per part; area = ``p_brand``.
+- user.json: one line per customer; ``yelping_since`` = date of the
+  customer's first order.
+- photo.json: one line per line item.
 - checkin.json: per part, counts of its line items by ship weekday and line number.
 - tip.json: one line per line item, likes = ``l_linenumber % 3``.
 - review_train.json: the training ratings as JSON.
+
+With ``gaps`` some keys are missing, for the queries whose feature is the
+lookup with defaults: parts larger than ``LISTED_MAX_SIZE`` and customers with
+a negative balance have no line, and only returned line items
+(``l_returnflag = 'R'``) a photo.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rateflow.operators.materialize import materialize, spread_for_compute
 from rateflow.sources.inputs import Inputs
 from rateflow.sources.schemas import RATINGS_HEADER
 
@@ -54,23 +59,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Deal rows round-robin over the session's task slots.
-
-    Each test table is one parquet row group, so its scan is one task; real
-    inputs are splittable text files read in many tasks. Spreading the rows
-    once, after column pruning, lets the rendering and parsing downstream run
-    on every core, as it would on the real files.
-    """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
-def _json_lines(df: DataFrame, *cols: Column) -> DataFrame:
-    return df.select(F.to_json(F.struct(*cols)).alias("value"))
+def _json_lines(df: DataFrame, *cols: Column, nulls: bool = False) -> DataFrame:
+    """One JSON line per row; with ``nulls`` a null field is written as null instead of left out."""
+    options = {"ignoreNullFields": "false"} if nulls else {}
+    return df.select(F.to_json(F.struct(*cols), options).alias("value"))
 
 
 def _rated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _spread(
+    # A small test table is one row group and so one task: deal its rows over the slots.
+    li = spread_for_compute(
         _table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_partkey", "l_quantity", "l_linenumber"
         )
@@ -93,8 +90,10 @@ def _rating_lines(spark: SparkSession, rated: DataFrame) -> DataFrame:
     return header.union(body)
 
 
-def business_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _table(spark, sf_dir, "part").filter(F.col("p_size") <= LISTED_MAX_SIZE)
+def business_lines(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    part = _table(spark, sf_dir, "part")
+    if gaps:
+        part = part.filter(F.col("p_size") <= LISTED_MAX_SIZE)
     size = F.col("p_size")
     noise = F.lit(None).cast("string")
     for p_type, level in reversed(list(NOISE_BY_TYPE.items())):
@@ -127,11 +126,14 @@ def business_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         attributes.alias("attributes"),
         F.when(size % 6 == 0, F.lit(None)).otherwise(F.regexp_replace("p_name", " ", ", ")).alias("categories"),
         hours.alias("hours"),
+        nulls=True,
     )
 
 
-def user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = _table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
+def user_lines(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    customer = _table(spark, sf_dir, "customer")
+    if gaps:
+        customer = customer.filter(F.col("c_acctbal") >= 0)
     first_order = (
         _table(spark, sf_dir, "orders")
         .groupBy("o_custkey")
@@ -147,24 +149,23 @@ def user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.transform(F.sequence(F.lit(1), n_friends), lambda k: (F.col("c_custkey") + k).cast("string")),
         )
     )
-    counters = [(base % m).alias(name) for name, m in USER_COUNTER_MODULI.items()]
+    counters = [F.pmod(base, F.lit(m)).alias(name) for name, m in USER_COUNTER_MODULI.items()]
     return _json_lines(
         users,
         F.col("c_custkey").cast("string").alias("user_id"),
         *counters,
         F.when(nation % 6 == 5, F.lit("")).otherwise(nation.cast("string")).alias("fans"),
-        ((F.lit(100) + base % 400) / 100.0).alias("average_stars"),
+        ((F.lit(100) + F.pmod(base, F.lit(400))) / 100.0).alias("average_stars"),
         F.date_format("first_order", "yyyy-MM-dd").alias("yelping_since"),
         friends.alias("friends"),
     )
 
 
-def photo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _spread(
-        _table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_returnflag") == "R")
-        .select("l_orderkey", "l_linenumber", "l_partkey")
-    )
+def photo_lines(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    li = _table(spark, sf_dir, "lineitem")
+    if gaps:
+        li = li.filter(F.col("l_returnflag") == "R")
+    li = spread_for_compute(li.select("l_orderkey", "l_linenumber", "l_partkey"))
     return _json_lines(
         li,
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("photo_id"),
@@ -173,7 +174,7 @@ def photo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def checkin_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _spread(_table(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_linenumber"))
+    li = spread_for_compute(_table(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_linenumber"))
     slots = (
         li.select(
             F.col("l_partkey").cast("string").alias("business_id"),
@@ -189,37 +190,35 @@ def checkin_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _json_lines(per_part, F.col("time"), F.col("business_id"))
 
 
-def tip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rated = _rated_items(spark, sf_dir)
-    return _json_lines(
-        rated, "user_id", "business_id", (F.col("l_linenumber") % 3).alias("likes")
-    )
-
-
-def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rated = _rated_items(spark, sf_dir).filter("is_train")
-    return _json_lines(rated, "user_id", "business_id", "stars")
+def inputs_from_tables(spark: SparkSession, sf_dir: str, gaps: bool = False, folder: str | None = None) -> Inputs:
+    """All inputs of the job derived from the tables in ``sf_dir``.
 
-
-def train_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rating_lines(spark, _rated_items(spark, sf_dir).filter("is_train"))
-
-
-def val_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rating_lines(spark, _rated_items(spark, sf_dir).filter(~F.col("is_train")))
-
-
-def inputs_from_tables(spark: SparkSession, sf_dir: str) -> Inputs:
-    """All inputs of the job derived from the tables in ``sf_dir``."""
+    With ``folder`` the joined rating rows, which four inputs are rendered
+    from, are stored there once; without it each input is a plan of its own.
+    """
+    rated = _rated_items(spark, sf_dir)
+    if folder is not None:
+        rated = materialize(rated, folder, "rated")
+    train, val = rated.filter("is_train"), rated.filter(~F.col("is_train"))
     return Inputs(
-        business=business_lines(spark, sf_dir),
-        user=user_lines(spark, sf_dir),
-        photo=photo_lines(spark, sf_dir),
+        business=business_lines(spark, sf_dir, gaps),
+        user=user_lines(spark, sf_dir, gaps),
+        photo=photo_lines(spark, sf_dir, gaps),
         checkin=checkin_lines(spark, sf_dir),
-        tip=tip_lines(spark, sf_dir),
-        review=review_lines(spark, sf_dir),
-        train=train_lines(spark, sf_dir),
-        val=val_lines(spark, sf_dir),
+        tip=_json_lines(rated, "user_id", "business_id", (F.col("l_linenumber") % 3).alias("likes")),
+        review=_json_lines(train, "user_id", "business_id", "stars"),
+        train=_rating_lines(spark, train),
+        val=_rating_lines(spark, val),
         train_header=RATINGS_HEADER,
         val_header=RATINGS_HEADER,
     )
+
+
+def rating_file(spark: SparkSession, sf_dir: str, folder: str, which: str = "train") -> str:
+    """Write the rating lines as text files, the header in the first; the path to read them by."""
+    rated = _rated_items(spark, sf_dir)
+    body = rated.filter("is_train" if which == "train" else ~F.col("is_train"))
+    lines = body.select(F.concat_ws(",", "user_id", "business_id", F.col("stars").cast("string")).alias("value"))
+    spark.range(1).select(F.lit(RATINGS_HEADER).alias("value")).write.text(f"{folder}/{which}/0-header")
+    lines.write.text(f"{folder}/{which}/1-body")
+    return f"{folder}/{which}/*"

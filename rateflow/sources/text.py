@@ -2,32 +2,64 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SEQ = "_seq"
+# Widths of the read order's parts in decimal digits: bytes into a file, rows of a split.
+_BLOCK_UNIT = Decimal(10**11)
+_FILE_UNIT = Decimal(10**26)
+# Files of one input whose ranks are inlined; beyond that they are joined as a small table.
+_INLINE_FILES = 16
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every line of the file(s) at ``path`` as ``value STRING``.
+    """Every line of the file(s) at ``path`` as ``value STRING``, and its place as ``_seq``.
 
     One read per file; the caller derives every column from this one frame
-    instead of re-reading the file per feature.
+    instead of re-reading the file per feature. ``_seq`` orders lines by file
+    name, then by place in the file, however Spark packs splits into tasks:
+    rank of the file, start of the split, row within the task. It is a
+    number, so reduces that keep the last line stay hash aggregates.
     """
-    return spark.read.text(path)
+    lines = spark.read.text(path)
+    files = sorted(lines.inputFiles())
+    place = (
+        F.col("_metadata.file_block_start").cast("decimal(38,0)") * F.lit(_BLOCK_UNIT)
+        + (F.monotonically_increasing_id() % (1 << 33)).cast("decimal(38,0)")
+    ).cast("decimal(38,0)")
+    if len(files) <= _INLINE_FILES:
+        rank = F.lit(0)
+        for i, name in enumerate(files[1:], 1):
+            rank = F.when(F.col("_metadata.file_path") == name, F.lit(i)).otherwise(rank)
+        order = (rank.cast("decimal(38,0)") * F.lit(_FILE_UNIT)).cast("decimal(38,0)")
+        return lines.select("value", (order + place).cast("decimal(38,0)").alias(SEQ))
+    ranks = spark.createDataFrame(list(enumerate(files)), "rank bigint, file string")
+    placed = lines.select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
+    order = (F.col("rank").cast("decimal(38,0)") * F.lit(_FILE_UNIT)).cast("decimal(38,0)")
+    # One short row per input file, which the driver has listed anyway.
+    joined = placed.join(F.broadcast(ranks), "file")
+    return joined.select("value", (order + F.col("place")).cast("decimal(38,0)").alias(SEQ))
 
 
-def read_order() -> Column:
+def read_order(lines: DataFrame) -> Column:
     """Position of a line in read order, used for last-wins de-duplication.
 
-    ``monotonically_increasing_id`` grows with the partition index and the row
-    position inside it, so it follows file order and is the same when a lost
-    partition is recomputed from the same split.
+    Lines read from files carry it. For other frames it is
+    ``monotonically_increasing_id``, which grows with the partition index and
+    the row position inside it.
     """
-    return F.monotonically_increasing_id().alias(SEQ)
+    place = F.col(SEQ) if SEQ in lines.columns else F.monotonically_increasing_id()
+    return place.alias(SEQ)
 
 
 def first_line(lines: DataFrame) -> str | None:
-    """First line of a line frame (reads one row)."""
+    """First line: of the first file by name that has one, else of the frame (reads one row)."""
+    for name in sorted(lines.inputFiles()) if SEQ in lines.columns else ():
+        row = lines.sparkSession.read.text(name).first()
+        if row is not None:
+            return row[0]
     row = lines.select("value").first()
     return None if row is None else row[0]
