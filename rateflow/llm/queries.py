@@ -1,4 +1,4 @@
-"""The registered queries of this package and, where SQL can express one, its DuckDB SQL."""
+"""The registered queries of this package; ``ORACLE_SQL`` is the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -16,6 +16,9 @@ from rateflow.llm.op7_secret_scan import op7_secret_scan
 from rateflow.llm.op8_decontaminate import op8_decontaminate
 from rateflow.llm.op9_bag_minhash import op9_bag_minhash
 from rateflow.llm.op10_fm_dedup import op10_fm_dedup
+from rateflow.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
@@ -30,4 +33,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fm_dedup": op10_fm_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
