@@ -157,18 +157,44 @@ def estimate_prior(p: np.ndarray, u: np.ndarray) -> float:
     return float(np.clip((above_u / above_p).min(), 0.01, 0.99))
 
 
-def fit_rows(p: np.ndarray, u: np.ndarray) -> Model:
-    """Fit on dense frequency rows of positives and unlabelled documents."""
-    mean, sd = u.mean(0), u.std(0) + 1e-4
-    told = np.abs(p.mean(0) - mean) / sd
+Sparse = list[tuple[np.ndarray, np.ndarray]]
+
+
+def _moments(rows: Sparse) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of every feature."""
+    total, square = np.zeros(WIDTH), np.zeros(WIDTH)
+    for at, value in rows:
+        total[at] += value
+        square[at] += value.astype(np.float64) ** 2
+    mean = total / len(rows)
+    return mean, np.sqrt(np.maximum(square / len(rows) - mean**2, 0))
+
+
+def _dense(rows: Sparse, used: np.ndarray) -> np.ndarray:
+    """The used features as a matrix; only these few columns are ever dense."""
+    column = np.full(WIDTH, -1)
+    column[used] = np.arange(len(used))
+    out = np.zeros((len(rows), len(used)))
+    for i, (at, value) in enumerate(rows):
+        here = column[at] >= 0
+        out[i, column[at[here]]] = value[here]
+    return out
+
+
+def fit_rows(p: Sparse, u: Sparse) -> Model:
+    """Fit on the features (positions and values) of positives and unlabelled documents."""
+    mean, sd = _moments(u)
+    sd += 1e-4
+    told = np.abs(_moments(p)[0] - mean) / sd
     used = np.sort(np.argsort(-told, kind="stable")[:MAX_FEATURES])
-    mean, sd = mean[used].astype(np.float64), sd[used].astype(np.float64)
-    scaled = [np.clip((x[:, used] - mean) / sd, -8, 8) for x in (p, u)]
+    mean, sd = mean[used], sd[used]
+    plain = [_dense(x, used) for x in (p, u)]
+    scaled = [np.clip((x - mean) / sd, -8, 8) for x in plain]
     prior = estimate_prior(*scaled)
     w = _descend(*scaled, prior)
     tables = np.zeros(WIDTH)
     tables[used] = w[:-1] / sd
-    cap = float(np.quantile(p[:, :TABLE] @ tables[:TABLE], 0.5))
+    cap = float(np.quantile(plain[0][:, used < TABLE] @ tables[used[used < TABLE]], 0.5))
     return Model(prior, cap, float(w[-1] - (w[:-1] * mean / sd).sum()), tables[:TABLE], tables[TABLE:])
 
 
@@ -208,13 +234,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .mapInArrow(run, "doc_id bigint, p int, u int, feature binary, value binary")
         .orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id", F.xxhash64("feature", "value")).limit(2 * (max_positives + max_unlabelled)).collect()
     )
-    rows = np.zeros((len(got), WIDTH), np.float32)
-    for i, r in enumerate(got):
-        rows[i, np.frombuffer(r["feature"], np.uint16)] = np.frombuffer(r["value"], np.float32)
-    is_p, is_u = (np.array([r[c] for r in got], bool) for c in ("p", "u"))
-    if not is_p.any() or not is_u.any():
-        return None
-    return fit_rows(rows[is_p], rows[is_u])
+    p, u = ([(np.frombuffer(r["feature"], np.uint16), np.frombuffer(r["value"], np.float32)) for r in got if r[c]] for c in ("p", "u"))
+    return fit_rows(p, u) if p and u else None
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
