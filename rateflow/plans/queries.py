@@ -245,7 +245,9 @@ def rivals_mean(spark, sf_dir):
 
 def _joined(spark, sf_dir):
     inp = _inputs(spark, sf_dir, gaps=True)
-    dims = build_dimensions(inp)
+    folder = new_run_folder(spark)
+    # Stored dimensions: next to a plain shuffle of theirs, a skewed ratings partition can be split.
+    dims = build_dimensions(inp, store=lambda df, name: materialize(df, folder, name))
     return lookup(train_ratings(inp).drop("n_fields"), dims.business, dims.user, dims.tips)
 
 

@@ -41,8 +41,10 @@ TIP = T.StructType(_strings("user_id", "business_id", "likes"))
 
 REVIEW = T.StructType(_strings("user_id", "business_id", "stars"))
 
-# Keys the job reads from every line without asking whether they are there.
-BUSINESS_KEYS = ("business_id", "stars", "postal_code", "review_count", "attributes")
+# Keys that every line must have. The job also indexes stars, postal_code,
+# review_count and attributes of a business line directly, each for its own feature only; a
+# line without them is kept here with null, since one parse serves all features.
+BUSINESS_KEYS = ("business_id",)
 USER_KEYS = ("user_id",)
 PHOTO_KEYS = ("business_id",)
 CHECKIN_KEYS = ("business_id", "time")

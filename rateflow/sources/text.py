@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,14 @@ _FILE_UNIT = Decimal(10**26)
 _INLINE_FILES = 16
 
 
+# Local files are listed as file:///a and named file:/a by their rows.
+_LOCAL = re.compile("^file:/+")
+
+
+def _plain(name: str) -> str:
+    return _LOCAL.sub("file:/", name)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Every line of the file(s) at ``path`` as ``value STRING``, and its place as ``_seq``.
 
@@ -25,7 +34,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     number, so reduces that keep the last line stay hash aggregates.
     """
     lines = spark.read.text(path)
-    files = sorted(lines.inputFiles())
+    files = [_plain(name) for name in sorted(lines.inputFiles())]
+    path = F.regexp_replace("_metadata.file_path", _LOCAL.pattern, "file:/")
     place = (
         F.col("_metadata.file_block_start").cast("decimal(38,0)") * F.lit(_BLOCK_UNIT)
         + (F.monotonically_increasing_id() % (1 << 33)).cast("decimal(38,0)")
@@ -33,11 +43,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     if len(files) <= _INLINE_FILES:
         rank = F.lit(0)
         for i, name in enumerate(files[1:], 1):
-            rank = F.when(F.col("_metadata.file_path") == name, F.lit(i)).otherwise(rank)
+            rank = F.when(path == name, F.lit(i)).otherwise(rank)
         order = (rank.cast("decimal(38,0)") * F.lit(_FILE_UNIT)).cast("decimal(38,0)")
         return lines.select("value", (order + place).cast("decimal(38,0)").alias(SEQ))
     ranks = spark.createDataFrame(list(enumerate(files)), "rank bigint, file string")
-    placed = lines.select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
+    placed = lines.select("value", path.alias("file"), place.alias("place"))
     order = (F.col("rank").cast("decimal(38,0)") * F.lit(_FILE_UNIT)).cast("decimal(38,0)")
     # One short row per input file, which the driver has listed anyway.
     joined = placed.join(F.broadcast(ranks), "file")

@@ -2,15 +2,18 @@
 
 import os
 import tempfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from rateflow.__main__ import main
+from rateflow.operators.materialize import _OPEN
 from rateflow.operators.standardize import standardize
 from rateflow.plans import evaluate
 from rateflow.plans.features import FEATURES_29, build_dimensions, feature_matrix, train_ratings
-from rateflow.plans.model import fit_gbt, predict
+from rateflow.plans.model import fit_gbt, gbt, held_out, predict, search
 from rateflow.plans.pipeline import run_pipeline
 from rateflow.sources.inputs import FILES
 from rateflow.sources.tables import inputs_from_tables
@@ -69,8 +72,40 @@ def test_pipeline_from_files_writes_predictions(spark):
     assert os.path.isdir(out)
 
 
-def test_early_stopping_keeps_at_most_the_rounds(train):
-    model = fit_gbt(train, FEATURES_29, max_iter=8, max_depth=3, early_stopping=True)
-    assert 1 <= model.stages[-1].getNumTrees <= 8
-    pred = predict(model, train)
-    assert pred.filter(F.col("prediction").isNull()).count() == 0
+def test_all_rounds_are_grown_with_255_bins(train):
+    model = fit_gbt(train, FEATURES_29, max_iter=4, max_depth=3)
+    assert model.stages[-1].getNumTrees == 4
+    assert gbt().getMaxBins() == 255 and gbt(max_bins=32).getMaxBins() == 32
+
+
+def test_search_takes_the_pair_of_least_error(train):
+    found = search(train, FEATURES_29, [(2, 2), (4, 3)])
+    assert [(r, d) for r, d, _ in found.tried] == [(2, 2), (4, 3)]
+    assert found.best == min(found.tried, key=lambda t: t[2])[:2]
+    assert found.model.stages[-1].getNumTrees == found.best[0]
+
+
+def test_holdout_follows_the_key_and_not_the_partitioning(train):
+    one = train.coalesce(1).filter(held_out()).select("user_id", "business_id")
+    many = train.repartition(13).filter(held_out()).select("user_id", "business_id")
+    assert Counter(one.collect()) == Counter(many.collect())
+    assert 0.1 < one.count() / train.count() < 0.3
+
+
+def test_command_line_writes_predictions_and_removes_its_folder(spark, capsys):
+    folder = tempfile.mkdtemp(prefix="rateflow-test-")
+    _write_inputs(spark, folder)
+    before = set(_OPEN)
+    assert main([folder, f"{folder}/yelp_val.csv", f"{folder}/out", "--rounds", "2", "--depth", "2"]) == 0
+    assert "RMSE" in capsys.readouterr().out
+    assert spark.read.option("header", True).csv(f"{folder}/out").count() > 0
+    assert set(_OPEN) == before
+
+
+def test_run_folder_keeps_only_the_predictions_and_goes_with_close(spark):
+    inputs = inputs_from_tables(spark, SF_SMALL)
+    res = run_pipeline(spark, inputs=inputs, max_iter=1, max_depth=2, search_pairs=[(1, 1), (1, 2)])
+    path = res.folder.removeprefix("file:")
+    assert os.listdir(path) == ["predictions"] and len(res.tried) == 2
+    res.close()
+    assert not os.path.exists(path)

@@ -8,10 +8,12 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from oracle_sql import oracle_sql
+from rateflow.plans.queries import QUERIES as PLANS
 
 TABLES = ["customer", "supplier", "part", "orders", "lineitem", "events"]
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+SQL = oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in PLANS}
 
 
 @pytest.fixture(scope="module")
@@ -34,8 +36,9 @@ def _rows(cols, rows):
 
 
 def test_every_query_has_an_entry():
-    model_queries = {"gbt_predictions", "gbt_error_hist", "gbt_grid"}
+    model_queries = {"gbt_predictions_small", "gbt_error_hist_small"}
     assert set(QUERIES) - set(SQL) == model_queries
+    assert set(SQL) <= set(entry.oracle_sql()) and set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -1,8 +1,7 @@
 """A user holding most of the ratings: shuffle joins with AQE's skew split keep every row."""
 
-from pyspark.sql import functions as F
-
 from conftest import lines
+from rateflow.operators.materialize import materialize, new_run_folder
 from rateflow.plans.features import build_dimensions, feature_matrix
 from rateflow.sources.csv_ratings import parse_rating_lines, training_rows
 from test_defaults import _inputs
@@ -24,21 +23,20 @@ def test_hot_user_rows_survive_shuffle_joins(spark):
     try:
         for k, v in FORCED.items():
             spark.conf.set(k, v)
-        dims = build_dimensions(inp)
-        ratings = training_rows(parse_rating_lines(inp.train))
+        folder = new_run_folder(spark)  # stored, as the job does: a reduced side cannot be split
+        dims = build_dimensions(inp, store=lambda df, name: materialize(df, folder, name))
+        ratings = training_rows(parse_rating_lines(inp.train.repartition(8), "user_id,business_id,stars"))  # a partition is split by its writers
         matrix = feature_matrix(ratings, dims)
-        plan = matrix._jdf.queryExecution().executedPlan().toString()
-        rows = matrix.groupBy("user_id").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_distinct("user_avg_rating", "users_review_count").alias("variants"),
-        ).collect()
+        rows = matrix.collect()
+        plan = matrix._jdf.queryExecution().executedPlan().toString()  # the final one: it has run
     finally:
         for k, v in saved.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-    assert "BroadcastHashJoin" not in plan
-    got = {r["user_id"]: (r["n"], r["variants"]) for r in rows}
-    assert got["u1"] == (3000, 1)
-    assert sum(n for n, _ in got.values()) == 4500
+    assert "isFinalPlan=true" in plan and "BroadcastHashJoin" not in plan
+    assert "SortMergeJoin(skew=true)" in plan
+    hot_rows = [r for r in rows if r["user_id"] == "u1"]
+    assert len(hot_rows) == 3000 and len(rows) == 4500
+    assert len({(r["user_avg_rating"], r["users_review_count"]) for r in hot_rows}) == 1
