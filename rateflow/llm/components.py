@@ -14,17 +14,26 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.join(least, "u")
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether each u has one edge and no v is a u: then every edge names its component."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
 def components(links: DataFrame, folder: str, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of ``links``; a component is named by its least node.
 
-    Each step is a grouped minimum (map-side combined) and a join with one row
+    The steps end when the edges are stars around the least node of each
+    component. Each step is a grouped minimum (map-side combined) and a join with one row
     per node, so a node with very many links can be split. The edge table
     is written after each step: lineage stays short and a lost executor costs a re-read.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
     edges = materialize(edges, folder, "edges-0")
-    step, before = 0, None
-    while True:
+    step = 0
+    while not _is_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         large = materialize(large, folder, f"edges-{step}-large")
@@ -32,10 +41,6 @@ def components(links: DataFrame, folder: str, a: str = "a", b: str = "b") -> Dat
         small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(near.select("u", F.col("m").alias("v")))
         step += 1
         edges = materialize(small.where("u != v").distinct(), folder, f"edges-{step}")
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if tuple(now) == before:
-            break
-        before = tuple(now)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

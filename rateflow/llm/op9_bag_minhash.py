@@ -14,12 +14,12 @@ Signatures are cut into bands; documents that share a band are compared, and
 pairs whose true multiset overlap is ``THRESHOLD`` or more are links. Equal texts
 are one node from the start. In each band bucket the document with the
 most bucket mates is compared with all others first; links join classes, and
-only members of different classes go on, against the next 8, 64, 512, ... members
+only members of different classes go on, against the next 64, 4096, ... members
 of the bucket, until no bucket holds two classes that were not compared. No
 pair that shares a band and ends in different classes is left uncompared, and
-nothing is capped. Before the true overlap, one bit of each slot is compared:
-a pair at the threshold differs in a tenth of the bits, and a pair
-``DEVIATIONS`` standard deviations beyond that is none (chance 1e-6 at the threshold).
+nothing is capped. Before the true overlap, four bits of each slot are compared:
+a pair at the threshold differs in 3/16 of the slots, and a pair
+``DEVIATIONS`` standard deviations beyond that is none (chance 2e-4 at the threshold).
 
 Recall: a pair of similarity 0.8 shares one of 36 bands of 7 with probability
 0.9998, one of 0.85 with 0.999999.
@@ -46,9 +46,9 @@ from rateflow.llm.components import components
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 36, 7
-DEVIATIONS = 5
+DEVIATIONS = 3.5
 #: By how much the number of members that a bucket compares with all others grows each turn.
-PIVOT_GROWTH = 8
+PIVOT_GROWTH = 64
 CHUNK = 2 << 20
 #: Weighted points of a document expected below its first time limit, beyond the slots' share.
 SLACK = 4.0
@@ -140,16 +140,24 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def slot_bits(signature: np.ndarray) -> np.ndarray:
-    """One bit of each slot, in 64-bit words."""
-    bits = (vec.mix(np.ascontiguousarray(signature).view(np.uint64)) & np.uint64(1)).astype(np.uint8)
-    wide = np.zeros((len(bits), -(-bits.shape[1] // 64) * 64), np.uint8)
-    wide[:, : bits.shape[1]] = bits
-    return np.packbits(wide, axis=1).view(np.int64)
+    """Four bits of each slot, sixteen slots in a 64-bit word."""
+    some = vec.mix(np.ascontiguousarray(signature).view(np.uint64)) & np.uint64(15)
+    wide = np.zeros((len(some), -(-some.shape[1] // 16) * 16), np.uint64)
+    wide[:, : some.shape[1]] = some
+    shifted = wide.reshape(len(some), -1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+    return np.bitwise_or.reduce(shifted, axis=2).view(np.int64)
+
+
+def differing_slots(a: Column, b: Column) -> Column:
+    """In how many of a word's sixteen slots two documents differ."""
+    x = a.bitwiseXOR(b)
+    pairs = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    return F.bit_count(pairs.bitwiseOR(F.shiftrightunsigned(pairs, 2)).bitwiseAND(F.lit(0x1111111111111111)))
 
 
 def most_different(slots: int, threshold: float) -> int:
-    """Bits in which a pair at the threshold differs, up to DEVIATIONS."""
-    p = (1 - threshold) / 2
+    """Slots in which a pair at the threshold differs, up to DEVIATIONS."""
+    p = (1 - threshold) * 15 / 16
     return int(slots * p + DEVIATIONS * np.sqrt(slots * p * (1 - p)))
 
 
@@ -245,9 +253,7 @@ def _labelled(docs: DataFrame, threshold: float, bands: int, rows: int, id_col:
     sketches = materialize(sketch(texts, bands, rows), folder, "sketches")
     worded = sketches.where("n > 0")
     nodes = worded.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
-    words = [F.col("bits")[i].alias(f"s{i}") for i in range(-(-bands * rows // 64))]
-    carried = ["n", *(f"s{i}" for i in range(len(words)))]
-    spread = materialize(nodes, folder, "nodes").select("node", "n", *words, F.explode("bands").alias("key"))
+    spread = materialize(nodes, folder, "nodes").select("node", F.explode("bands").alias("key"))
     sizes = spread.groupBy("key").agg(F.count("*").alias("mates")).where("mates > 1")
     members = materialize(spread.join(sizes, "key"), folder, "members")
     nodes = spark.read.parquet(f"{folder}/nodes")
@@ -258,14 +264,17 @@ def _labelled(docs: DataFrame, threshold: float, bands: int, rows: int, id_col:
     source = source.where(text_digest(F.col("text")) == F.col("want")).select("doc_id", "text")
     sets = materialize(multisets(source).dropDuplicates(["node"]), folder, "sets")
 
-    open_rows = members.join(rank, "node").select("key", "node", "degree", *carried)
+    words = [F.col("bits")[i].alias(f"s{i}") for i in range(-(-bands * rows // 16))]
+    carried = ["n", *(f"s{i}" for i in range(len(words)))]
+    about = materialize(rank.join(nodes.select("node", "n", *words), "node"), folder, "about")
+    open_rows = members.join(about, "node").select("key", "node", "degree", *carried)
     classes = materialize(rank.select("node", F.col("node").alias("component")), folder, "classes")
     best_first = Window.partitionBy("key").orderBy(F.desc("degree"), "node")
-    turn, pivots = 0, 1
+    turn, pivots, tested = 0, 1, None
     while True:
-        here = materialize(open_rows.join(classes, "node"), folder, f"open-{turn}")
+        here = open_rows.join(classes, "node")
         mixed = here.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
-        here = materialize(here.join(mixed, "key", "left_semi"), folder, f"mixed-{turn}")
+        here = materialize(here.join(mixed, "key", "left_semi"), folder, f"open-{turn}")
         if here.isEmpty():
             break
         first = here.withColumn("turn", F.row_number().over(best_first)).where(F.col("turn") <= pivots).drop("turn")
@@ -273,10 +282,14 @@ def _labelled(docs: DataFrame, threshold: float, bands: int, rows: int, id_col:
         pivot = first.select("key", *[F.col(c).alias(f"p_{c}") for c in ("node", "degree", "component", *carried)])
         later = (F.col("degree") < F.col("p_degree")) | ((F.col("degree") == F.col("p_degree")) & (F.col("node") > F.col("p_node")))
         alike = F.least("n", "p_n") >= threshold * F.greatest("n", "p_n")
-        differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p_{c}"))) for c in carried[1:]), F.lit(0))
+        differ = sum((differing_slots(F.col(c), F.col(f"p_{c}")) for c in carried[1:]), F.lit(0))
         wanted = later & (F.col("component") != F.col("p_component")) & alike & (differ <= most_different(bands * rows, threshold))
         pairs = here.join(pivot, "key").where(wanted)
         pairs = pairs.select(F.col("node").alias("a"), F.col("p_node").alias("b"), F.col("component").alias("ca"), F.col("p_component").alias("cb")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, folder, f"pairs-{turn}")
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         links = materialize(verify(pairs, sets, threshold), folder, f"links-{turn}")
         if not links.isEmpty():
             merged = components(links, f"{folder}/turn-{turn}", "ca", "cb").select(F.col("node").alias("old"), F.col("component").alias("new"))
