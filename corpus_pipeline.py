@@ -31,9 +31,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
-    found = op8_decontaminate.contaminated(docs, read(spark, sf_dir, "benchmark"))
-    found = materialize(found.select(F.col("doc_id").alias("__id")).distinct(), new_run_folder(spark), "contaminated")
-    return docs.join(found, docs["doc_id"].cast("bigint").eqNullSafe(F.col("__id")), "left_anti")
+    found = op8_decontaminate.contaminated_rows(docs, read(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias("__id"), F.col("node").alias("__node")).distinct()
+    found = materialize(found, new_run_folder(spark), "contaminated")
+    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("__id")) & (op8_decontaminate.text_digest(docs["text"]) == F.col("__node"))
+    return docs.join(found, same, "left_anti")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

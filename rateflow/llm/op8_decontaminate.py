@@ -13,8 +13,10 @@ consistent passages hold ``MIN_COVERAGE`` of the item's windows or more.
 
 Items of fewer than ``WINDOW`` tokens are matched by one window of their own
 length; items of fewer than ``MIN_LITERALS`` literal tokens are never
-matched. Null and empty texts match nothing. Rows that share an id (null too)
-count as one document.
+matched. Null and empty texts match nothing. Rows are judged by id and text: rows
+that share an id (null too) with different texts are different documents, and
+only the query's output names a document by its id alone. Items are told apart
+by their texts; each id that has the text is reported.
 
 The benchmark's windows are looked up in each task. That table is broadcast in
 slices of ``SLICE_WINDOWS`` windows at most (whole items); a larger benchmark
@@ -23,11 +25,12 @@ takes one pass over the documents for each slice.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateflow.llm import vec
@@ -134,16 +137,25 @@ def windows(token: np.ndarray, kind: np.ndarray, bounds: np.ndarray, size: int)
     return at, hashes[at]
 
 
-WINDOW_SCHEMA = "{id} bigint, size int, hash bigint, place int, slots array<bigint>, n_tokens int"
+WINDOW_SCHEMA = "{id} bigint, {node} binary, size int, hash bigint, place int, slots array<bigint>, n_tokens int"
 
 
-def _window_rows(id_name: str, ids: np.ndarray, at: np.ndarray, hashes: np.ndarray, size: int, kind: np.ndarray, slot: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:
+def text_digest(text: Column) -> Column:
+    """The digest of a text's UTF-8 bytes; a null text is an empty one."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
+def _window_rows(
+    id_name: str, node_name: str, ids: np.ndarray, buf: np.ndarray, offsets: np.ndarray, at: np.ndarray, hashes: np.ndarray, size: int,
+    kind: np.ndarray, slot: np.ndarray, bounds: np.ndarray,
+) -> pa.RecordBatch:
     doc = np.searchsorted(bounds, at, "right") - 1
+    nodes = {d: hashlib.md5(buf[offsets[d] : offsets[d + 1]]).digest() for d in np.unique(doc).tolist()}
     flat = vec.spans_to_flat(at, np.full(len(at), size))
     is_slot = kind[flat] != LITERAL
     ends = np.concatenate([[0], np.cumsum(is_slot.reshape(len(at), size).sum(1))]) if len(at) else np.zeros(1, np.int64)
     return pa.RecordBatch.from_pydict({
-        id_name: null_ids_back(ids[doc]), "size": pa.array(np.full(len(at), size, np.int32)), "hash": hashes.view(np.int64),
+        id_name: null_ids_back(ids[doc]), node_name: pa.array([nodes[d] for d in doc.tolist()], pa.binary()), "size": pa.array(np.full(len(at), size, np.int32)), "hash": hashes.view(np.int64),
         "place": (at - bounds[doc]).astype(np.int32),
         "slots": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(slot[flat][is_slot].view(np.int64))),
         "n_tokens": np.diff(bounds)[doc].astype(np.int32),
@@ -165,9 +177,9 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
                     at, hashes = windows(token, kind, bounds, size)
                     own = length[np.searchsorted(bounds, at, "right") - 1]
                     mine = own == size if size < WINDOW else own >= WINDOW
-                    yield _window_rows("item_id", ids, at[mine], hashes[mine], size, kind, slot, bounds)
+                    yield _window_rows("item_id", "item", ids, buf, offsets, at[mine], hashes[mine], size, kind, slot, bounds)
 
-    return id_and_text(benchmark, id_col, text_col).mapInArrow(run, WINDOW_SCHEMA.format(id="item_id"))
+    return id_and_text(benchmark, id_col, text_col).mapInArrow(run, WINDOW_SCHEMA.format(id="item_id", node="item"))
 
 
 def document_windows(docs: DataFrame, tables: dict[int, bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,23 +197,36 @@ def document_windows(docs: DataFrame, tables: dict[int, bytes], id_col: str = "d
                     at, hashes = windows(token, kind, bounds, size)
                     hit = _is_in(hashes, table)
                     if hit.any():
-                        yield _window_rows("doc_id", ids, at[hit], hashes[hit], size, kind, slot, bounds)
+                        yield _window_rows("doc_id", "node", ids, buf, offsets, at[hit], hashes[hit], size, kind, slot, bounds)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, WINDOW_SCHEMA.format(id="doc_id"))
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, WINDOW_SCHEMA.format(id="doc_id", node="node"))
 
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE, id_col: str = "doc_id", text_col: str = "text",
     item_id_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """One row per contaminated document and item: windows matched, coverage, whether slots were exchanged."""
+    """One row per contaminated document id and item id: windows matched, coverage, whether slots were exchanged."""
+    found = contaminated_rows(docs, benchmark, min_coverage, id_col, text_col, item_id_col, item_text_col)
+    told = ["coverage", "n_matched", "n_windows", "slots_exchanged"]
+    best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct(*told)).alias("best"))
+    return best.select("doc_id", "item_id", *[f"best.{c}" for c in ("n_matched", "n_windows", "coverage", "slots_exchanged")])
+
+
+def contaminated_rows(
+    docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE, id_col: str = "doc_id", text_col: str = "text",
+    item_id_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """As ``contaminated``, with one row per (doc_id, node) and (item_id, item): the ids and the texts' digests."""
     spark = docs.sparkSession
     folder = new_run_folder(spark)
-    items = materialize(item_windows(benchmark, item_id_col, item_text_col), folder, "items")
+    bench = id_and_text(benchmark, item_id_col, item_text_col).withColumnRenamed("doc_id", "item_id")
+    named = bench.select("item_id", text_digest(F.col("text")).alias("item")).distinct()
+    items = materialize(item_windows(bench.dropDuplicates(["text"])).drop("item_id"), folder, "items")
     n = items.count()
     slices = max(1, -(-n // SLICE_WINDOWS))
-    # Items are dealt by id; one item's windows stay in one slice, so a slice is bounded up to the longest item.
-    dealt = items.withColumn("slice", F.pmod(F.xxhash64("item_id"), F.lit(slices)))
+    # Items are dealt by text; one item's windows stay in one slice, so a slice is bounded up to the longest item.
+    dealt = items.withColumn("slice", F.pmod(F.xxhash64("item"), F.lit(slices)))
     found = None
     for k in range(slices):
         part = dealt.where(F.col("slice") == k).drop("slice")
@@ -209,30 +234,31 @@ def contaminated(
         tables = {int(s): np.sort(g["hash"].to_numpy(np.int64).view(np.uint64)).tobytes() for s, g in rows.groupby("size")}
         one = _judged(document_windows(docs, tables, id_col, text_col), part, min_coverage)
         found = one if found is None else found.unionByName(one)
-    return found
+    return found.join(F.broadcast(named), "item")
 
 
 def _judged(matches: DataFrame, items: DataFrame, min_coverage: float) -> DataFrame:
-    item = F.broadcast(items.select("item_id", "size", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")))
-    of = items.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    item = F.broadcast(items.select("item", "size", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")))
+    of = items.groupBy("item").agg(F.count("*").alias("n_windows"))
+    key = ["doc_id", "node", "item"]
     pairs = (
         matches.join(item, ["size", "hash"])
         .withColumn("diagonal", F.col("place") - F.col("item_place"))
         .withColumn("pair", F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")))
     )
-    passage = pairs.groupBy("doc_id", "item_id", "diagonal").agg(
+    passage = pairs.groupBy(*key, "diagonal").agg(
         F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set("pair"))).alias("pairs")
     )
     n = F.size("pairs")
     fits = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == n) & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))) == n)
     good = passage.where(fits).withColumn("exchanged", F.exists("pairs", lambda p: p["i"] != p["d"]))
-    covered = good.select("doc_id", "item_id", "exchanged", F.explode("places").alias("place")).groupBy("doc_id", "item_id", "place").agg(F.min("exchanged").alias("exchanged"))
-    total = covered.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_matched"), F.max("exchanged").alias("slots_exchanged"))
+    covered = good.select(*key, "exchanged", F.explode("places").alias("place")).groupBy(*key, "place").agg(F.min("exchanged").alias("exchanged"))
+    total = covered.groupBy(*key).agg(F.count("*").alias("n_matched"), F.max("exchanged").alias("slots_exchanged"))
     return (
-        total.join(F.broadcast(of), "item_id")
+        total.join(F.broadcast(of), "item")
         .withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
         .where(F.col("coverage") >= min_coverage)
-        .select("doc_id", "item_id", "n_matched", "n_windows", "coverage", "slots_exchanged")
+        .select(*key, "n_matched", "n_windows", "coverage", "slots_exchanged")
     )
 
 

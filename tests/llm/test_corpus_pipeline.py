@@ -80,3 +80,13 @@ def test_empty_documents_table(spark, corpus, tmp_path):
     for table in ("benchmark", "labels"):
         spark.read.parquet(f"{folder}/{table}.parquet").write.parquet(f"{tmp_path}/{table}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_decontaminate_keeps_clean_rows_of_a_leaked_id(spark, tmp_path):
+    rng = random.Random(2)
+    item = prose(rng, 25)
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(None, prose(rng, 60)), (None, None), (5, prose(rng, 60)), (6, prose(rng, 60))]
+    docs = frame(spark, [*clean, (None, "so " + item), (5, item)])
+    got = corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(clean, key=str)

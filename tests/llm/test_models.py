@@ -1,5 +1,6 @@
 """Quality classifier and benchmark decontamination."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -147,3 +148,14 @@ def test_windows_match_brute_force(spark):
 
 def test_empty_tables(spark):
     assert found(spark, [], [(1, ITEM)]) == {} and found(spark, [(1, ITEM)], []) == {}
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    rng = random.Random(7)
+    one, two = ITEM.replace("40", "75"), ITEM.replace("40", "81")
+    rows = [(None, ITEM), (None, prose(rng, 60)), (8, one), (8, two), (9, prose(rng, 60))]
+    bench = spark.createDataFrame([(None, ITEM), (3, ITEM)], "item_id bigint, text string")
+    got = op8.contaminated_rows(frame(spark, rows, clash=True), bench).select("doc_id", "item_id", F.hex("node").alias("node")).collect()
+    digest = lambda t: hashlib.md5(t.encode()).hexdigest().upper()
+    assert {tuple(r) for r in got} == {(i, k, digest(t)) for i, t in (rows[0], *rows[2:4]) for k in (None, 3)} and len(got) == 6
+    assert set(found(spark, rows, [(3, ITEM)])) == {(None, 3), (8, 3)}
