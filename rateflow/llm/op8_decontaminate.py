@@ -6,10 +6,14 @@ inside a sentence; neighbouring ones are one name) and units are replaced by
 typed placeholders, whose texts are kept as slots. Windows of ``WINDOW``
 template tokens, at least ``MIN_LITERALS`` of them literal, are hash-joined
 between documents and benchmark items. Matches on one diagonal (document place minus item place)
-are one passage; its slots are consistent if item values and document values
-pair one to one, which a re-parameterised question keeps and unrelated text
-with the same wording does not. A document is contaminated by an item if
-consistent passages hold ``MIN_COVERAGE`` of the item's windows or more.
+are one passage. A slot agrees if its text is the item's or the one document
+value that replaces the item value most often; two item values may meet in one
+document value. If ``MIN_AGREE`` of a passage's slots agree, which a
+re-parameterised question keeps and unrelated text with the same wording does
+not, every window whose slots agree counts. Otherwise its verbatim windows
+count: those that hold a slot, and those in ``MIN_RUN`` consecutive verbatim
+windows. A document is contaminated by an item if the windows that count are
+``MIN_COVERAGE`` of the item's windows or more.
 
 Items of fewer than ``WINDOW`` tokens are matched by one window of their own
 length; items of fewer than ``MIN_LITERALS`` literal tokens are never
@@ -26,6 +30,7 @@ takes one pass over the documents for each slice.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +44,11 @@ from rateflow.llm.common import id_and_text, materialize, new_run_folder, null_i
 WINDOW = 8
 MIN_LITERALS = 4
 MIN_COVERAGE = 0.25
+MIN_AGREE = 0.75
+MIN_RUN = 6  # 13 consecutive tokens
 SLICE_WINDOWS = 1 << 20
 CHUNK = 1 << 20
+JUDGED_AT_ONCE = 64
 
 # Words that count as numbers and as units.
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
@@ -137,7 +145,7 @@ def windows(token: np.ndarray, kind: np.ndarray, bounds: np.ndarray, size: int)
     return at, hashes[at]
 
 
-WINDOW_SCHEMA = "{id} bigint, {node} binary, size int, hash bigint, place int, slots array<bigint>, n_tokens int"
+WINDOW_SCHEMA = "{id} bigint, {node} binary, size int, hash bigint, place int, slots array<bigint>, slot_at array<int>"
 
 
 def text_digest(text: Column) -> Column:
@@ -154,11 +162,12 @@ def _window_rows(
     flat = vec.spans_to_flat(at, np.full(len(at), size))
     is_slot = kind[flat] != LITERAL
     ends = np.concatenate([[0], np.cumsum(is_slot.reshape(len(at), size).sum(1))]) if len(at) else np.zeros(1, np.int64)
+    ends = pa.array(ends, pa.int32())
     return pa.RecordBatch.from_pydict({
         id_name: null_ids_back(ids[doc]), node_name: pa.array([nodes[d] for d in doc.tolist()], pa.binary()), "size": pa.array(np.full(len(at), size, np.int32)), "hash": hashes.view(np.int64),
         "place": (at - bounds[doc]).astype(np.int32),
-        "slots": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(slot[flat][is_slot].view(np.int64))),
-        "n_tokens": np.diff(bounds)[doc].astype(np.int32),
+        "slots": pa.ListArray.from_arrays(ends, pa.array(slot[flat][is_slot].view(np.int64))),
+        "slot_at": pa.ListArray.from_arrays(ends, pa.array((flat - np.repeat(bounds[doc], size))[is_slot].astype(np.int32))),
     })
 
 
@@ -237,27 +246,72 @@ def contaminated_rows(
     return found.join(F.broadcast(named), "item")
 
 
+Window = tuple[int, list[tuple[int, int, int]]]  # the window's place in the item and its slots: (place, item text, document text)
+
+
+def runs(places: list[int]) -> Iterator[list[int]]:
+    """The maximal stretches of consecutive places."""
+    part: list[int] = []
+    for p in sorted(places):
+        if part and p != part[-1] + 1:
+            yield part
+            part = []
+        part.append(p)
+    if part:
+        yield part
+
+
+def counting(passage: list[Window]) -> tuple[set[int], bool]:
+    """The windows of one passage that count, and whether slots of them were exchanged."""
+    spots = {at: (i, d) for _, slots in passage for at, i, d in slots}
+    most: dict[int, tuple[int, int]] = {}
+    for (i, d), n in Counter(p for p in spots.values() if p[0] != p[1]).items():
+        most[i] = max(most.get(i, (0, 0)), (n, d))
+    agrees = {at for at, (i, d) in spots.items() if i == d or most[i][1] == d}
+    if len(agrees) >= MIN_AGREE * len(spots):
+        good = [(place, slots) for place, slots in passage if all(at in agrees for at, _, _ in slots)]
+        return {place for place, _ in good}, any(i != d for _, slots in good for _, i, d in slots)
+    verbatim = {place: bool(slots) for place, slots in passage if all(i == d for _, i, d in slots)}
+    long = {p for run in runs(list(verbatim)) if len(run) >= MIN_RUN for p in run}
+    return {p for p, holds in verbatim.items() if holds or p in long}, False
+
+
+def judge(found: list[tuple[int, Window]]) -> tuple[int, bool]:
+    """Of the windows (diagonal, window) that one document shares with one item: how many count, and whether slots were exchanged."""
+    passages: dict[int, list[Window]] = defaultdict(list)
+    for diagonal, window in found:
+        passages[diagonal].append(window)
+    covered: dict[int, bool] = {}
+    for passage in passages.values():
+        places, exchanged = counting(passage)
+        for p in places:
+            covered[p] = covered.get(p, True) and exchanged
+    return len(covered), any(covered.values())
+
+
 def _judged(matches: DataFrame, items: DataFrame, min_coverage: float) -> DataFrame:
-    item = F.broadcast(items.select("item", "size", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")))
+    item = F.broadcast(items.select("item", "size", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), F.col("slot_at")))
     of = items.groupBy("item").agg(F.count("*").alias("n_windows"))
     key = ["doc_id", "node", "item"]
-    pairs = (
-        matches.join(item, ["size", "hash"])
-        .withColumn("diagonal", F.col("place") - F.col("item_place"))
-        .withColumn("pair", F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")))
-    )
-    passage = pairs.groupBy(*key, "diagonal").agg(
-        F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set("pair"))).alias("pairs")
-    )
-    n = F.size("pairs")
-    fits = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == n) & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))) == n)
-    good = passage.where(fits).withColumn("exchanged", F.exists("pairs", lambda p: p["i"] != p["d"]))
-    covered = good.select(*key, "exchanged", F.explode("places").alias("place")).groupBy(*key, "place").agg(F.min("exchanged").alias("exchanged"))
-    total = covered.groupBy(*key).agg(F.count("*").alias("n_matched"), F.max("exchanged").alias("slots_exchanged"))
+    slots = F.arrays_zip(F.col("slot_at").alias("at"), F.col("item_slots").alias("i"), F.col("slots").alias("d"))
+    pairs = matches.drop("slot_at").join(item, ["size", "hash"]).select(*key, F.struct((F.col("place") - F.col("item_place")).alias("diagonal"), "item_place", slots.alias("slots")).alias("window"))
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for k in range(0, batch.num_rows, JUDGED_AT_ONCE):
+                part = batch.slice(k, JUDGED_AT_ONCE)
+                got = []
+                for windows in part.column("windows").to_pylist():
+                    got.append(judge([(w["diagonal"], (w["item_place"], [(s["at"], s["i"], s["d"]) for s in w["slots"]])) for w in windows]))
+                told = {"n_matched": pa.array([g[0] for g in got], pa.int64()), "slots_exchanged": pa.array([g[1] for g in got], pa.bool_())}
+                yield pa.RecordBatch.from_pydict({**{c: part.column(c) for c in key}, **told})
+
+    passages = pairs.groupBy(*key).agg(F.collect_set("window").alias("windows"))
+    total = passages.mapInArrow(run, "doc_id bigint, node binary, item binary, n_matched bigint, slots_exchanged boolean")
     return (
         total.join(F.broadcast(of), "item")
         .withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
-        .where(F.col("coverage") >= min_coverage)
+        .where((F.col("n_matched") > 0) & (F.col("coverage") >= min_coverage))
         .select(*key, "n_matched", "n_windows", "coverage", "slots_exchanged")
     )
 

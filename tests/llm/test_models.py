@@ -159,3 +159,21 @@ def test_rows_of_one_id_are_judged_by_their_texts(spark):
     digest = lambda t: hashlib.md5(t.encode()).hexdigest().upper()
     assert {tuple(r) for r in got} == {(i, k, digest(t)) for i, t in (rows[0], *rows[2:4]) for k in (None, 3)} and len(got) == 6
     assert set(found(spark, rows, [(3, ITEM)])) == {(None, 3), (8, 3)}
+
+
+def test_one_edited_slot_drops_no_verbatim_window(spark):
+    item = "if 7 red birds and 9 blue birds sit on a wall near the old mill how many birds are there when 7 of them fly off again and do not come back"
+    one, met = item.replace("when 7", "when 5"), item.replace("9", "7")
+    far = item.replace("if 7", "if 31").replace("when 7", "when 58")  # 7 became two values: only what is verbatim counts
+    got = found(spark, [(1, one), (2, met), (3, far)], [(1, item)])
+    n = len(item.split()) - 7
+    assert got[1, 1].n_matched == got[2, 1].n_matched == n and got[3, 1].n_matched < n
+
+
+def test_windows_that_count():
+    window = lambda place, *slots: (place, list(slots))
+    same, other = (3, 7, 7), (30, 9, 4)
+    assert op8.counting([window(0, same), window(25, other)]) == ({0, 25}, True)
+    torn = [(k, 7, 50 + k) for k in (3, 30, 60)]
+    passage = [window(0, torn[0]), window(25, torn[1]), window(55, torn[2]), window(70, (71, 8, 8)), window(80), *[window(k) for k in range(90, 96)]]
+    assert op8.counting(passage) == ({70, *range(90, 96)}, False)
