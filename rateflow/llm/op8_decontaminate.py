@@ -4,8 +4,9 @@ Words (white space apart, signs at their ends dropped, ASCII and Latin-1
 letters in lower case) become template tokens: numbers, names (capitalised
 inside a sentence; neighbouring ones are one name) and units are replaced by
 typed placeholders, whose texts are kept as slots. Windows of ``WINDOW``
-template tokens, at least ``MIN_LITERALS`` of them literal, are hash-joined
-between documents and benchmark items. Matches on one diagonal (document place minus item place)
+template tokens are hash-joined between documents and benchmark items; a window
+of fewer than ``MIN_LITERALS`` literal tokens is joined with its slot texts, so
+only verbatim. Matches on one diagonal (document place minus item place)
 are one passage. A slot agrees if its text is the item's or the one document
 value that replaces the item value most often; two item values may meet in one
 document value. If ``MIN_AGREE`` of a passage's slots agree, which a
@@ -13,7 +14,9 @@ re-parameterised question keeps and unrelated text with the same wording does
 not, every window whose slots agree counts. Otherwise its verbatim windows
 count: those that hold a slot, and those in ``MIN_RUN`` consecutive verbatim
 windows. A document is contaminated by an item if the windows that count are
-``MIN_COVERAGE`` of the item's windows or more.
+``MIN_COVERAGE`` or more of the item's windows, or of its windows of enough
+literals, or if a passage holds ``MIN_RUN`` consecutive verbatim windows,
+whatever their share. The greater share is the coverage reported.
 
 Items of fewer than ``WINDOW`` tokens are matched by one window of their own
 length; items of fewer than ``MIN_LITERALS`` literal tokens are never
@@ -84,6 +87,7 @@ _DIGIT[48:58] = True
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 _STOP[list(b".!?:;|")] = True
 LITERAL, NUMBER, NAME, UNIT = 0, 1, 2, 3
+_TOLD = np.uint64(0xD6E8FEB86659FD93)
 _PLACEHOLDER = vec.mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -132,20 +136,32 @@ def template(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return token, kind, slot, np.searchsorted(starts, offsets)
 
 
-def windows(token: np.ndarray, kind: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the windows of ``size`` tokens inside one document that hold enough literals."""
+def windows(token: np.ndarray, kind: np.ndarray, slot: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows of ``size`` tokens inside one document, and whether they hold enough literals.
+
+    Windows of too few literals are hashed by the texts of their tokens; those shorter than WINDOW are left out.
+    """
     if len(token) < size:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
     hashes = vec.join_hashes(token, size)
     literals = np.concatenate([[0], np.cumsum(kind == LITERAL, dtype=np.int32)])
-    ok = literals[size:] - literals[:-size] >= MIN_LITERALS
+    literal = literals[size:] - literals[:-size] >= MIN_LITERALS
+    inside = np.ones(len(hashes), bool)
     for e in bounds[1:-1]:
-        ok[max(0, e - size + 1) : e] = False
-    at = np.flatnonzero(ok)
-    return at, hashes[at]
+        inside[max(0, e - size + 1) : e] = False
+    if size == WINDOW:
+        few = np.flatnonzero(inside & ~literal)
+        exact = np.full(len(few), _TOLD)
+        for k in range(size):
+            exact = vec.mix(exact + slot[few + k])
+        hashes[few] = exact
+    else:
+        inside &= literal
+    at = np.flatnonzero(inside)
+    return at, hashes[at], literal[at]
 
 
-WINDOW_SCHEMA = "{id} bigint, {node} binary, size int, hash bigint, place int, slots array<bigint>, slot_at array<int>"
+WINDOW_SCHEMA = "{id} bigint, {node} binary, size int, hash bigint, place int, slots array<bigint>, slot_at array<int>, literal boolean"
 
 
 def text_digest(text: Column) -> Column:
@@ -154,7 +170,7 @@ def text_digest(text: Column) -> Column:
 
 
 def _window_rows(
-    id_name: str, node_name: str, ids: np.ndarray, buf: np.ndarray, offsets: np.ndarray, at: np.ndarray, hashes: np.ndarray, size: int,
+    id_name: str, node_name: str, ids: np.ndarray, buf: np.ndarray, offsets: np.ndarray, at: np.ndarray, hashes: np.ndarray, literal: np.ndarray, size: int,
     kind: np.ndarray, slot: np.ndarray, bounds: np.ndarray,
 ) -> pa.RecordBatch:
     doc = np.searchsorted(bounds, at, "right") - 1
@@ -167,7 +183,7 @@ def _window_rows(
         id_name: null_ids_back(ids[doc]), node_name: pa.array([nodes[d] for d in doc.tolist()], pa.binary()), "size": pa.array(np.full(len(at), size, np.int32)), "hash": hashes.view(np.int64),
         "place": (at - bounds[doc]).astype(np.int32),
         "slots": pa.ListArray.from_arrays(ends, pa.array(slot[flat][is_slot].view(np.int64))),
-        "slot_at": pa.ListArray.from_arrays(ends, pa.array((flat - np.repeat(bounds[doc], size))[is_slot].astype(np.int32))),
+        "slot_at": pa.ListArray.from_arrays(ends, pa.array((flat - np.repeat(bounds[doc], size))[is_slot].astype(np.int32))), "literal": literal,
     })
 
 
@@ -183,10 +199,10 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
                 for size in np.unique(np.minimum(length, WINDOW)).tolist():
                     if size < MIN_LITERALS:
                         continue
-                    at, hashes = windows(token, kind, bounds, size)
+                    at, hashes, literal = windows(token, kind, slot, bounds, size)
                     own = length[np.searchsorted(bounds, at, "right") - 1]
                     mine = own == size if size < WINDOW else own >= WINDOW
-                    yield _window_rows("item_id", "item", ids, buf, offsets, at[mine], hashes[mine], size, kind, slot, bounds)
+                    yield _window_rows("item_id", "item", ids, buf, offsets, at[mine], hashes[mine], literal[mine], size, kind, slot, bounds)
 
     return id_and_text(benchmark, id_col, text_col).mapInArrow(run, WINDOW_SCHEMA.format(id="item_id", node="item"))
 
@@ -203,10 +219,10 @@ def document_windows(docs: DataFrame, tables: dict[int, bytes], id_col: str = "d
             for ids, buf, offsets in text_chunks(batch, CHUNK):
                 token, kind, slot, bounds = template(buf, offsets)
                 for size, table in known.items():
-                    at, hashes = windows(token, kind, bounds, size)
+                    at, hashes, literal = windows(token, kind, slot, bounds, size)
                     hit = _is_in(hashes, table)
                     if hit.any():
-                        yield _window_rows("doc_id", "node", ids, buf, offsets, at[hit], hashes[hit], size, kind, slot, bounds)
+                        yield _window_rows("doc_id", "node", ids, buf, offsets, at[hit], hashes[hit], literal[hit], size, kind, slot, bounds)
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, WINDOW_SCHEMA.format(id="doc_id", node="node"))
 
@@ -276,43 +292,52 @@ def counting(passage: list[Window]) -> tuple[set[int], bool]:
     return {p for p, holds in verbatim.items() if holds or p in long}, False
 
 
-def judge(found: list[tuple[int, Window]]) -> tuple[int, bool]:
-    """Of the windows (diagonal, window) that one document shares with one item: how many count, and whether slots were exchanged."""
+def judge(found: list[tuple[int, Window]]) -> tuple[set[int], bool, int]:
+    """Of the windows (diagonal, window) that one document shares with one item: those that count, whether slots were exchanged, the longest verbatim run."""
     passages: dict[int, list[Window]] = defaultdict(list)
     for diagonal, window in found:
         passages[diagonal].append(window)
     covered: dict[int, bool] = {}
+    longest = 0
     for passage in passages.values():
         places, exchanged = counting(passage)
         for p in places:
             covered[p] = covered.get(p, True) and exchanged
-    return len(covered), any(covered.values())
+        verbatim = {place for place, slots in passage if all(i == d for _, i, d in slots)}
+        longest = max(longest, *(len(r) for r in runs(list(verbatim)))) if verbatim else longest
+    return set(covered), any(covered.values()), longest
 
 
 def _judged(matches: DataFrame, items: DataFrame, min_coverage: float) -> DataFrame:
-    item = F.broadcast(items.select("item", "size", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), F.col("slot_at")))
-    of = items.groupBy("item").agg(F.count("*").alias("n_windows"))
+    item = F.broadcast(items.select("item", "size", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), "slot_at", "literal"))
+    of = items.groupBy("item").agg(F.count("*").alias("n_all"), F.count_if("literal").alias("n_literal"))
     key = ["doc_id", "node", "item"]
     slots = F.arrays_zip(F.col("slot_at").alias("at"), F.col("item_slots").alias("i"), F.col("slots").alias("d"))
-    pairs = matches.drop("slot_at").join(item, ["size", "hash"]).select(*key, F.struct((F.col("place") - F.col("item_place")).alias("diagonal"), "item_place", slots.alias("slots")).alias("window"))
+    pairs = matches.drop("slot_at", "literal").join(item, ["size", "hash"]).select(*key, F.struct((F.col("place") - F.col("item_place")).alias("diagonal"), "item_place", "literal", slots.alias("slots")).alias("window"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for k in range(0, batch.num_rows, JUDGED_AT_ONCE):
                 part = batch.slice(k, JUDGED_AT_ONCE)
-                got = []
+                got, of_literals = [], []
                 for windows in part.column("windows").to_pylist():
                     got.append(judge([(w["diagonal"], (w["item_place"], [(s["at"], s["i"], s["d"]) for s in w["slots"]])) for w in windows]))
-                told = {"n_matched": pa.array([g[0] for g in got], pa.int64()), "slots_exchanged": pa.array([g[1] for g in got], pa.bool_())}
+                    of_literals.append(len(got[-1][0] & {w["item_place"] for w in windows if w["literal"]}))
+                told = {
+                    "all_matched": pa.array([len(g[0]) for g in got], pa.int64()), "literal_matched": pa.array(of_literals, pa.int64()),
+                    "slots_exchanged": pa.array([g[1] for g in got], pa.bool_()), "run": pa.array([g[2] for g in got], pa.int64()),
+                }
                 yield pa.RecordBatch.from_pydict({**{c: part.column(c) for c in key}, **told})
 
     passages = pairs.groupBy(*key).agg(F.collect_set("window").alias("windows"))
-    total = passages.mapInArrow(run, "doc_id bigint, node binary, item binary, n_matched bigint, slots_exchanged boolean")
+    total = passages.mapInArrow(run, "doc_id bigint, node binary, item binary, all_matched bigint, literal_matched bigint, slots_exchanged boolean, run bigint")
+    both = [F.struct((F.col(n) / F.nullif(of_n, F.lit(0))).alias("coverage"), F.col(n).alias("n_matched"), of_n.alias("n_windows")) for n, of_n in (("all_matched", F.col("n_all")), ("literal_matched", F.col("n_literal")))]
     return (
         total.join(F.broadcast(of), "item")
-        .withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
-        .where((F.col("n_matched") > 0) & (F.col("coverage") >= min_coverage))
-        .select(*key, "n_matched", "n_windows", "coverage", "slots_exchanged")
+        .withColumn("best", F.greatest(*both))
+        .select(*key, "best.n_matched", "best.n_windows", "best.coverage", "slots_exchanged", "run")
+        .where((F.col("n_matched") > 0) & ((F.col("coverage") >= min_coverage) | (F.col("run") >= MIN_RUN)))
+        .drop("run")
     )
 
 

@@ -177,3 +177,16 @@ def test_windows_that_count():
     torn = [(k, 7, 50 + k) for k in (3, 30, 60)]
     passage = [window(0, torn[0]), window(25, torn[1]), window(55, torn[2]), window(70, (71, 8, 8)), window(80), *[window(k) for k in range(90, 96)]]
     assert op8.counting(passage) == ({70, *range(90, 96)}, False)
+
+
+def test_verbatim_passages_and_slot_heavy_items(spark):
+    rng = random.Random(8)
+    long, middle = prose(rng, 1000).split(), prose(rng, 59).split()
+    sums = "What is 12 + 7 * 30 - 4 / 2 + 11 * 6 ?"
+    items = [(1, " ".join(long)), (2, " ".join(middle)), (3, sums), (4, "Ann Bob 5 6 " + " ".join(f"{k} km {k + 1}" for k in range(30)))]
+    around = lambda t: f"{prose(rng, 30)} {t} {prose(rng, 30)}"
+    rows = [(1, around(" ".join(long[300:550]))), (2, around(" ".join(middle[20:39]))), (3, around(sums)), (4, around(sums.replace("30", "31"))),
+            (5, around(" ".join(middle[20:29]))), (6, around(" ".join(f"{k} km {k + 1}" for k in range(12, 18))))]
+    got = found(spark, rows, items)
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (6, 4)}
+    assert (got[1, 1].n_matched, got[1, 1].n_windows) == (243, 993) and got[3, 3].coverage == 1
