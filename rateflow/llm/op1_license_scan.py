@@ -1,6 +1,8 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
-A text and each of its lines and paragraphs are candidates. A candidate is
+Every window of a text's words is a candidate, so a licence may run over lines
+and paragraphs or stand inside one with other words; the whole text and each of its
+lines and paragraphs are looked at too. A candidate is
 normalised (lower case; words of letters, digits and inner dots; copyright lines
 dropped) and compared with the templates whose size allows the threshold: with
 a bigrams in the candidate and t in the template, Dice = 2 x common / (a + t)
@@ -9,7 +11,7 @@ not looked at. Within those bounds a match holds more than d/(2 - d) of the
 template's bigrams; so a text without any word of a chosen set that covers the
 other 1 - d/(2 - d) of them (``Templates.keywords``) needs no comparison.
 
-Per document, for each licence found: the best coefficient and where (line number, 0 for the
+Per document, for each licence found: the best coefficient and where (number of the first line, 0 for the
 whole text). Null and empty texts have no licence. Ties go to the first
 template by name.
 """
@@ -17,8 +19,11 @@ template by name.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +70,7 @@ class Templates:
     """Templates with their bigrams, the licences that hold each bigram, and the sizes that can match."""
 
     names: list[str]
+    sets: list[frozenset[tuple[str, str]]]
     sizes: list[int]
     holders: dict[tuple[str, str], list[int]]
     threshold: float
@@ -77,7 +83,7 @@ class Templates:
         for i, s in enumerate(sets):
             for b in s:
                 holders.setdefault(b, []).append(i)
-        return cls(names, [len(s) for s in sets], holders, threshold)
+        return cls(names, sets, [len(s) for s in sets], holders, threshold)
 
     def bounds(self, i: int) -> tuple[float, float]:
         ratio = (2 - self.threshold) / self.threshold
@@ -142,6 +148,85 @@ def licences(text: str, templates: Templates, keywords: list[str]) -> list[tuple
     return [(templates.names[i], *best[i]) for i in sorted(best)]
 
 
+def best_windows(pairs: list[tuple[str, str]], own: frozenset[tuple[str, str]], threshold: float) -> list[tuple[float, int, int]]:
+    """(Dice, start, end) of the best window from each start among a text's bigrams, the shortest of equal ones, at the threshold or above."""
+    share = threshold / (2 - threshold)
+    least, most = share * len(own) - 1e-9, len(own) / share + 1e-9
+    hits = [k for k, b in enumerate(pairs) if b in own]
+    again: dict[int, int] = {}  # where the bigram of a hit comes next
+    later: dict[tuple[str, str], int] = {}
+    for k in reversed(hits):
+        again[k] = later.get(pairs[k], len(pairs))
+        later[pairs[k]] = k
+    found = []
+    held: dict[tuple[str, str], int] = {}
+    common = at = end = 0
+    for start in hits:
+        while at < min(start, end):
+            b = pairs[at]
+            held[b] -= 1
+            if not held[b]:
+                del held[b]
+                common -= b in own
+            at += 1
+        at, end = start, max(start, end)
+        while end < len(pairs) and (pairs[end] in held or len(held) + 1 <= most):
+            b = pairs[end]
+            if b not in held:
+                held[b] = 0
+                common += b in own
+            held[b] += 1
+            end += 1
+        if common < least:
+            continue
+        seen: set[tuple[str, str]] = set()
+        shared, best = 0, (0.0, start, start)
+        for k in range(start, min(end, again[start])):
+            b = pairs[k]
+            if b in seen:
+                continue
+            seen.add(b)
+            if b in own:
+                shared += 1
+                dice = 2 * shared / (len(seen) + len(own))
+                if dice > best[0]:
+                    best = (dice, start, k + 1)
+        if best[0] >= threshold:
+            found.append(best)
+    return found
+
+
+def licences_anywhere(text: str, templates: Templates, keywords: list[str]) -> list[tuple[str, float, int]]:
+    """As ``licences``, over every window of the text's words too."""
+    if not any(map(text.lower().__contains__, keywords)):
+        return []
+    best = {name: (dice, line) for name, dice, line in licences(text, templates, keywords)}
+    plain = _COPYRIGHT.sub("", text)
+    share = templates.threshold / (2 - templates.threshold)
+    for body in {plain: 0, text: 0}:
+        words = _WORD.findall(body.lower())
+        pairs = list(zip(words, words[1:]))
+        known = templates.holders.keys() & set(pairs)
+        common = Counter(i for b in known for i in templates.holders[b])
+        reach = [i for i, n in common.items() if n >= share * templates.sizes[i] - 1e-9]
+        found = sorted((-dice, -templates.sizes[i], start, end, i) for i in reach for dice, start, end in best_windows(pairs, templates.sets[i], templates.threshold))
+        starts: list[int] = []  # of windows that matched, none inside another: their ends are in order too
+        ends: list[int] = []
+        matched: set[int] = set()
+        for dice, _, start, end, i in found:
+            k = bisect_right(starts, start)
+            if k and ends[k - 1] >= end:
+                continue
+            if i not in matched and -dice > best.get(templates.names[i], (0.0, 0))[0]:
+                lower = body.lower()
+                first = next(islice(_WORD.finditer(lower), start, None)).start()
+                best[templates.names[i]] = (-dice, lower.count("\n", 0, first) + 1)
+            matched.add(i)
+            lo, hi = bisect_left(starts, start), bisect_right(ends, end)
+            starts[lo : max(lo, hi)], ends[lo : max(lo, hi)] = [start], [end]
+    return [(name, *best[name]) for name in sorted(best)]
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: the best licence, its coefficient and line, and all licences found."""
     ship(docs.sparkSession)
@@ -152,7 +237,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
         for batch in batches:
             ids = arrow_ids(batch.column("doc_id"))
             for lo, hi, texts in text_strings(batch):
-                found = [licences(t, known, keywords) for t in texts]
+                found = [licences_anywhere(t, known, keywords) for t in texts]
                 best = [min(x, key=lambda m: (-m[1], m[0])) if x else (None, None, None) for x in found]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": null_ids_back(ids[lo:hi]), "license": pa.array([b[0] for b in best], pa.string()),

@@ -63,6 +63,50 @@ def test_licence_rows(spark):
     assert got[2] == got[3] == got[4] == (None, None, [])
 
 
+def brute_windows(text, threshold=op1.THRESHOLD):
+    """The best Dice of every template over every window of words that lies in no better window of another template, with and without the copyright lines."""
+    best = {}
+    for body in (text, re.sub(r"(?im)^[ \t]*(?:copyright\b|\(c\)|©).*$", "", text)):
+        words = re.findall(r"[a-z0-9]+(?:\.[a-z0-9]+)*", body.lower())
+        windows = []
+        for name, template in op1.TEMPLATES.items():
+            own = op1.bigrams(template)
+            for a in range(len(words) - 1):
+                seen, common, top = set(), 0, (0, 0)
+                for e in range(a + 1, len(words)):
+                    b = (words[e - 1], words[e])
+                    common += b in own and b not in seen
+                    seen.add(b)
+                    top = max(top, (2 * common / (len(seen) + len(own)), -e))
+                if (words[a], words[a + 1]) in own and top[0] >= threshold:
+                    windows.append((top[0], len(own), a, -top[1], name))
+        for w in windows:
+            if not any(v[4] != w[4] and v[:2] > w[:2] and v[2] <= w[2] and w[3] <= v[3] for v in windows):
+                best[w[4]] = max(best.get(w[4], 0), w[0])
+    return best
+
+
+def test_licences_are_found_wherever_they_stand():
+    rng = random.Random(9)
+    known = op1.Templates.of(op1.TEMPLATES, op1.THRESHOLD)
+    cut = lambda t, n, by: by.join(" ".join(t.split()[k : k + n]) for k in range(0, len(t.split()), n))
+    cases = [
+        ("MIT line", 1, "Some sentence of the text. Released under the MIT License."),
+        ("CC0-1.0 notice", 3, prose(rng, 9) + "\n\n" + prose(rng, 5) + " " + cut(op1.TEMPLATES["CC0-1.0 notice"].replace("all copyright", "all\ncopyright"), 40, "") + " " + prose(rng, 6)),
+    ]
+    for name in ("MIT text", "Apache-2.0 notice", "GPL-3.0 notice"):
+        for by in ("\n\n", "\r\n\r\n", "\r\n"):
+            cases.append((name, 1 + 2 * by.count("\n"), by.join(["Title", "", cut(op1.TEMPLATES[name], 45, by), prose(rng, 250)])))
+    cases += [("MIT line", 1, ("of the software released under " * 40) + "the MIT License " + prose(rng, 20))]
+    for name, line, text in cases:
+        got = {n: (d, k) for n, d, k in op1.licences_anywhere(text, known, known.keywords())}
+        want = brute_windows(text)
+        for n, d, _ in op1.licences(text, known, known.keywords()):
+            want[n] = max(d, want.get(n, 0))
+        assert {n: d for n, (d, _) in got.items()} == want and got[name][1] == line
+    assert op1.licences(cases[0][2], known, known.keywords()) == []
+
+
 # ---- byte-level BPE
 
 
