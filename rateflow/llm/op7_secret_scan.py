@@ -5,8 +5,12 @@ assignments of source and configuration syntax (``name = "literal"``,
 ``"name": "literal"``, ``name: literal``, ``NAME=literal``, ``name := ...``,
 ``name => ...``, ``<name>literal</name>``) into name-literal pairs, follows
 constants (``key = BASE + "..."``: a name on the right stands for the literals
-that were last assigned to it), and scores each literal by how sensitive its
-target name is and by its form. Literals that score ``MIN_SCORE`` and lie in no
+that were last assigned to it), and scores each literal by how sensitive the most
+sensitive name that it reaches is and by its form. The joined value of a chain
+is scored as its pieces are (variables without a known value left out), and if
+it scores all of them count. Assignments are linked to the ones they
+use, and weights, joined values and scores go along the links once, so neither
+the length of a chain nor its repetition is limited. Literals that score ``MIN_SCORE`` and lie in no
 base span are added as kind ``literal``.
 
 Null and empty texts hold no spans. Spans are in code points, the end
@@ -50,6 +54,8 @@ SENSITIVE = {
 # Literals that stand for a secret without being one.
 PLACEHOLDERS = ("example", "changeme", "change_me", "placeholder", "your", "xxxx", "dummy", "none", "null", "true", "false", "undefined", "redacted")
 
+_HEAD = max(map(len, PLACEHOLDERS))
+
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the base patterns."""
@@ -71,39 +77,79 @@ def literal_weight(value: str) -> float:
     """0 for a short literal, a placeholder or prose; else up to 1.2 by its entropy and mixture."""
     if len(value) < MIN_LITERAL or any(c.isspace() for c in value) or value.lower().startswith(PLACEHOLDERS) or len(set(value)) < 4:
         return 0.0
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
-    kinds = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    digits = any(c.isdigit() for c in value)
+    return _mixture(Counter(value), len(value))
+
+
+def _mixture(counts: Counter[str], length: int) -> float:
+    """The entropy and the kinds of characters of a value, from how often it holds each."""
+    entropy = -sum(p * math.log2(p) for p in (n / length for n in counts.values()) if p)
+    kinds = sum(any(f(c) for c in counts) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
+    digits = any(c.isdigit() for c in counts)
     return min(1.2, entropy / 4 + 0.15 * (kinds - 1)) if digits or kinds >= 3 else 0.4
 
 
-def lexed_pairs(text: str) -> list[tuple[str, int, int, str]]:
-    """(target name, start, end, literal) of each assignment, constants followed.
+def joined_weight(counts: Counter[str], head: str) -> float:
+    """As ``literal_weight``, of a joined value known by its characters and how it begins."""
+    length = sum(counts.values())
+    if length < MIN_LITERAL or any(c.isspace() for c in counts) or head.lower().startswith(PLACEHOLDERS) or len(counts) < 4:
+        return 0.0
+    return _mixture(counts, length)
 
-    A literal used through a constant is reported at its own place, under
-    each name that it reaches.
-    """
-    pairs: list[tuple[str, int, int, str]] = []
-    constants: dict[str, list[tuple[int, int, str]]] = {}
+
+def scores(weight: float, literal: float) -> bool:
+    """Whether a literal of this weight is a secret under a name of that weight."""
+    return weight >= 0.5 and weight * literal >= MIN_SCORE - 0.2 * (weight >= 1.0)
+
+
+#: (start, end, literal, whether its value is known: not a variable in a chain), or the number of the assignment that a constant stands for.
+Operand = tuple[int, int, str, bool] | int
+
+
+def assignments(text: str) -> list[tuple[str, list[Operand]]]:
+    """(target name, operands) of each assignment; those it uses come before it."""
+    found: list[tuple[str, list[Operand]]] = []
+    constants: dict[str, int] = {}
     at = 0
     while target := _TARGET.search(text, at):
         name, pos = target[1] or target[2], target.end()
-        parts: list[tuple[int, int, str]] = []
+        parts: list[Operand] = []
         while operand := _OPERAND.match(text, pos):
             group = operand.lastindex or 3
             value = operand[group]
             if group == 3 and _NAME.match(value) and value in constants:
-                parts += constants[value]
+                parts.append(constants[value])
             else:
-                parts.append((operand.start(group), operand.end(group), value))
+                parts.append((operand.start(group), operand.end(group), value, group != 3 or not _NAME.match(value)))
             pos = operand.end()
             if not (plus := _PLUS.match(text, pos)):
                 break
             pos = plus.end()
         if parts:
-            constants[name] = parts[:64]  # a constant of more parts is no secret's text
-            pairs += [(name, *part) for part in parts]
+            constants[name] = len(found)
+            found.append((name, parts))
         at = max(target.end(), target.start() + 1)  # values may hold further pairs: {"a": {"token": "..."}}
+    return found
+
+
+def lexed_pairs(text: str) -> list[tuple[str, int, int, str]]:
+    """(target name, start, end, literal) of each assignment, constants followed.
+
+    A literal used through a constant is reported at its own place, once under
+    each assignment that it reaches.
+    """
+    found = assignments(text)
+    pairs = []
+    for name, parts in found:
+        left, seen = parts[::-1], set()
+        while left:
+            part = left.pop()
+            if part in seen:
+                continue
+            seen.add(part)
+            if isinstance(part, int):
+                left += found[part][1][::-1]
+            else:
+                pairs.append((name, *part[:3]))
     return pairs
 
 
@@ -111,11 +157,44 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     """Literals that score and lie in no base span, as (start, kind number, end)."""
     if not ("=" in text or ":" in text or "</" in text):
         return []
+    assigned = assignments(text)
+    weights = [name_weight(name) for name, _ in assigned]
+    last_use: dict[int, int] = {}
+    for n in range(len(assigned) - 1, -1, -1):
+        for part in assigned[n][1] if weights[n] >= 0.5 else ():
+            if isinstance(part, int):
+                weights[part] = max(weights[part], weights[n])
+                last_use.setdefault(part, n)
     found = set()
-    for name, start, end, value in lexed_pairs(text):
-        weight = name_weight(name)
-        if weight >= 0.5 and weight * literal_weight(value) >= MIN_SCORE - 0.2 * (weight >= 1.0):
-            found.add((start, 3, end))
+    whole = [False] * len(assigned)
+    joined: dict[int, tuple[Counter[str], str]] = {}
+    for n, (_, parts) in enumerate(assigned):
+        if weights[n] < 0.5:
+            continue
+        counts, head = Counter(), ""
+        for part in parts:
+            if isinstance(part, int):
+                counts.update(joined[part][0])
+                head = head if len(head) >= _HEAD else head + joined[part][1]
+                continue
+            start, end, value, known = part
+            if scores(weights[n], literal_weight(value)):
+                found.add((start, 3, end))
+            if known:
+                counts.update(value)
+                head = head if len(head) >= _HEAD else head + value[:_HEAD]
+        whole[n] = len(parts) > 1 and scores(weights[n], joined_weight(counts, head))
+        if n in last_use:
+            joined[n] = counts, head[:_HEAD]
+        for part in parts:
+            if isinstance(part, int) and last_use[part] == n:
+                joined.pop(part, None)
+    for n in range(len(assigned) - 1, -1, -1):
+        for part in assigned[n][1] if whole[n] else ():
+            if isinstance(part, int):
+                whole[part] = True
+            elif part[3] and part[2]:
+                found.add((part[0], 3, part[1]))
     return [s for s in sorted(found) if not any(b[0] <= s[0] and s[2] <= b[2] for b in base)]
 
 

@@ -184,6 +184,22 @@ def test_lexer_reads_pairs_and_follows_constants():
     assert [text[a:e] for a, _, e in spans] == ["hunter2xyz99", "Zq81kd77", "a8Fk29dkQpz1", "K29dkfPq82zz"]
 
 
+def test_chains_of_any_length_and_pieces():
+    told = lambda text: [text[a:e] for a, _, e in op7.added_spans(text, [])]
+    key = "a8Fk29dkQpz1"
+    many = [f"v{k}Zq81kd{k:03}" for k in range(150)]
+    assert told("part = " + " + ".join(f'"{p}"' for p in many) + "\ndb_pwd = part") == many
+    assert told("\n".join(["s = 'x'", *(f"s = s + '{p}'" for p in many), "db_pwd = s"]))[-150:] == many
+    assert told("a = '" + key + "'\n" + "a = a + a\n" * 3000 + "db_pwd = a + 'z'") == [key, "z"]
+    pieces = ["aB3$", "x9Kq", "-7Zt"]
+    chain = " + ".join(f"'{p}'" for p in pieces)
+    assert told(f"db_pwd = {chain}") == told(f"part = {chain}\ndb_pwd = part") == pieces
+    assert told(f"db_pwd = 'aB3$' + mid + 'x9Kq'") == ["aB3$", "x9Kq"]
+    assert told(f"colour = {chain}") == told("db_pwd = 'change' + 'me12' + '3'") == told("db_pwd = 'aB3$ ' + 'x9Kq'") == []
+    assert op7.redacted(f"db_pwd = {chain}", op7.added_spans(f"db_pwd = {chain}", [])) == "db_pwd = " + " + ".join(["'[SECRET]'"] * 3)
+    assert {(n, v) for n, _, _, v in op7.lexed_pairs("s = 'x1'\ns = s + 's'\nt = s + s")} >= {("t", "x1"), ("t", "s")}
+
+
 @pytest.mark.parametrize("text", ["colour = 'a8Fk29dkQpz1'", "password: changeme123", "note: this is prose", "https://host/path", 'pwd = "short"', "pwd = 'aaaaaaaaaaaa'", "key: value"])
 def test_lexer_leaves_harmless_literals(text):
     assert op7.added_spans(text, []) == []
