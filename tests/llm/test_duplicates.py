@@ -1,5 +1,6 @@
 """Near-duplicate documents and vectors, and connected components, against brute force."""
 
+import math
 import random
 from collections import Counter
 
@@ -212,3 +213,10 @@ def test_calibrated_count_keeps_recall():
     gaps = np.abs(rng.standard_normal((20_000, op5.PROJECTIONS)) * np.sqrt(2 * (1 - op5.THRESHOLD)))
     assert ((gaps <= op5.WIDTH).sum(axis=1) >= k).mean() > op5.RECALL - 0.002
     assert op5.cell_plan(100, 0.98, 0.99) == (0, 1) and op5.cell_plan(10**8, 0.98, 0.99)[0] >= 5
+
+
+def test_the_sieve_loses_fewer_pairs_than_the_bands():
+    slots, p = 2 * op9.BANDS * op9.ROWS, (1 - op9.THRESHOLD) * 3 / 4
+    at_most = op9.most_different(slots, op9.THRESHOLD)
+    lost = sum(math.comb(slots, k) * p**k * (1 - p) ** (slots - k) for k in range(at_most + 1, slots + 1))
+    assert lost < 1e-5 < (1 - op9.THRESHOLD**op9.ROWS) ** op9.BANDS < 3e-4
