@@ -3,17 +3,19 @@
 import os
 import tempfile
 from collections import Counter
+from inspect import signature
 
 import pytest
 from pyspark.sql import functions as F
 
+import bench
 from conftest import SF_SMALL
 from rateflow.__main__ import main
 from rateflow.operators.materialize import _OPEN
 from rateflow.operators.standardize import standardize
 from rateflow.plans import evaluate
 from rateflow.plans.features import FEATURES_29, build_dimensions, feature_matrix, train_ratings
-from rateflow.plans.model import fit_gbt, gbt, held_out, predict, search
+from rateflow.plans.model import SEARCH_PAIRS, fit_gbt, gbt, held_out, predict, search
 from rateflow.plans.pipeline import run_pipeline
 from rateflow.sources.inputs import FILES
 from rateflow.sources.tables import inputs_from_tables
@@ -109,3 +111,9 @@ def test_run_folder_keeps_only_the_predictions_and_goes_with_close(spark):
     assert os.listdir(path) == ["predictions"] and len(res.tried) == 2
     res.close()
     assert not os.path.exists(path)
+
+
+def test_bench_times_the_search(spark):
+    assert signature(bench.search_times).parameters["pairs"].default == SEARCH_PAIRS and len(SEARCH_PAIRS) == 5
+    got = bench.search_times(spark, inputs_from_tables(spark, SF_SMALL), [(1, 1), (1, 2)])
+    assert [t[:2] for t in got["tried"]] == [(1, 1), (1, 2)] and got["seconds"] > 0
