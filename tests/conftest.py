@@ -9,16 +9,9 @@ if ROOT not in sys.path:
 
 from rateflow.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("local[*]", 8)
     ensure_checkpoint_dir(session)
     yield session
-
-
-def lines(spark, *texts):
-    """A line frame (``value STRING``) from literal lines, in order."""
-    return spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1)

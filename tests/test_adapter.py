@@ -1,6 +1,6 @@
 """The test-table adapter reads whole tables, and the plans that were reworked for fewer scans."""
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from rateflow.operators import business as biz
 from rateflow.plans.queries import QUERIES
 from rateflow.sources.tables import inputs_from_tables

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import lines
+from helpers import lines
 from rateflow.plans.features import FEATURES_29, FEATURES_32, build_dimensions, feature_matrix
 from rateflow.sources.csv_ratings import parse_rating_lines, training_rows
 from rateflow.sources.inputs import Inputs

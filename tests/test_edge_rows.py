@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import lines
+from helpers import lines
 from rateflow.operators import business as biz
 from rateflow.operators import interactions as ix
 from rateflow.operators import user as usr

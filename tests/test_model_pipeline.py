@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import bench
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from rateflow.__main__ import main
 from rateflow.operators.materialize import _OPEN
 from rateflow.operators.standardize import standardize

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from oracle_sql import oracle_sql
 from rateflow.plans.queries import QUERIES as PLANS
 

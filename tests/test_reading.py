@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import lines
+from helpers import lines
 from rateflow.functions.business import is_open_flag, review_count_value
 from rateflow.functions.missing import as_number
 from rateflow.operators.dedupe import last_wins

@@ -1,6 +1,6 @@
 """A user holding most of the ratings: shuffle joins with AQE's skew split keep every row."""
 
-from conftest import lines
+from helpers import lines
 from rateflow.operators.materialize import materialize, new_run_folder
 from rateflow.plans.features import build_dimensions, feature_matrix
 from rateflow.sources.csv_ratings import parse_rating_lines, training_rows
