@@ -115,10 +115,61 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
 FROM p"""
 
 
+def spelling_variants_sql() -> str:
+    """crc32 goes over the bytes, each followed by eight shifts (-1 in the list of steps).
+
+    Two words are near if dropping the letter at one same place leaves the same
+    text, or dropping a letter of the longer leaves the shorter.
+    """
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS head,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[a-z\\x{{C0}}-\\x{{FF}}]{{5,}}')) AS run
+  FROM documents
+),
+each_run AS (SELECT head, run, count(*) AS k FROM runs GROUP BY ALL),
+steps AS (
+  SELECT run, k, [CAST(4294967295 AS BIGINT)] || flatten(list_transform(range(octet_length(encode(head || run))), lambda i:
+           [CAST('0x' || substr(hex(encode(head || run)), 2 * i + 1, 2) AS BIGINT)] || [-1, -1, -1, -1, -1, -1, -1, -1])) AS s
+  FROM each_run
+),
+crc AS (
+  SELECT run, k, xor(list_reduce(s, lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) AS h
+  FROM steps
+),
+noisy AS (
+  SELECT k, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM crc
+),
+v AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM noisy WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+cut AS (SELECT word, length(word) AS len, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM v)),
+pairs AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT cut.word, v.word FROM cut JOIN v ON cut.rest = v.word
+  UNION SELECT v.word, cut.word FROM cut JOIN v ON cut.rest = v.word
+),
+ranked AS (
+  SELECT p.word, p.near, b.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+         row_number() OVER (PARTITION BY p.word ORDER BY b.n DESC, encode(p.near)) AS place
+  FROM pairs p JOIN v b ON b.word = p.near
+),
+forms AS (
+  SELECT v.word, v.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.near_n >= 2 * v.n THEN r.near END AS form, CASE WHEN r.near_n >= 2 * v.n THEN r.near_n END AS form_n
+  FROM v LEFT JOIN ranked r ON r.word = v.word AND r.place = 1
+),
+walk AS (
+  SELECT word, word AS here, 0 AS depth FROM forms
+  UNION ALL SELECT walk.word, forms.form, depth + 1 FROM walk JOIN forms ON forms.word = walk.here WHERE forms.form IS NOT NULL
+),
+ends AS (SELECT word, max_by(here, depth) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM forms JOIN ends USING (word)"""
+
+
 ORACLE_SQL = {
     "op2_suffix_dedup": suffix_dedup_sql(),
     "op3_warc": warc_sql(),
     "op5_collision_dedup": links_sql(),
     "op10_fm_dedup": fm_dedup_sql(),
     "op11_fill_in_middle": fill_in_middle_sql(),
+    "op12_spelling_variants": spelling_variants_sql(),
 }

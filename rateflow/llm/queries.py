@@ -17,6 +17,7 @@ from rateflow.llm.op8_decontaminate import op8_decontaminate
 from rateflow.llm.op9_bag_minhash import op9_bag_minhash
 from rateflow.llm.op10_fm_dedup import op10_fm_dedup
 from rateflow.llm.op11_fill_in_middle import op11_fill_in_middle
+from rateflow.llm.op12_spelling_variants import op12_spelling_variants
 from rateflow.llm.oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -33,5 +34,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bag_minhash": op9_bag_minhash,
     "op10_fm_dedup": op10_fm_dedup,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
