@@ -165,6 +165,90 @@ ends AS (SELECT word, max_by(here, depth) AS root FROM walk GROUP BY word)
 SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM forms JOIN ends USING (word)"""
 
 
+def pii_sanitize_sql() -> str:
+    """Spans from the plain patterns; ``shares`` has what each term discloses of each entity."""
+    email = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+    patterns = [
+        ("email", email), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    ]
+    kinds = " UNION ALL ".join(
+        f"SELECT r, doc_id, digest, {i} AS kind_no, '{kind}' AS kind, regexp_extract_all(t, '{p}') AS found, string_split_regex(t, '{p}') AS gaps FROM d"
+        for i, (kind, p) in enumerate(patterns)
+    )
+    letters = r"\p{L}{3,}"
+
+    def words(text: str) -> str:
+        return f"regexp_extract_all(lower(regexp_replace({text}, '{email}', ' ', 'g')), '{letters}')"
+
+    before = r"CASE WHEN length(before) > 120 THEN regexp_replace(right(before, 120), '^\p{L}+', '') ELSE before END"
+    after = r"CASE WHEN length(after) > 120 THEN regexp_replace(left(after, 120), '\p{L}+$', '') ELSE after END"
+    n = ", ".join(f"CAST(count(*) FILTER (kind = '{kind}') AS BIGINT) AS n_{kind}" for kind, _ in patterns)
+    counts = ", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind, _ in patterns)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, md5(coalesce(text, '')) AS digest FROM documents),
+lists AS ({kinds}),
+each_match AS (SELECT *, unnest(range(1, len(found) + 1)) AS k FROM lists WHERE len(found) > 0),
+matched AS (
+  SELECT r, doc_id, digest, kind_no, kind, found[k] AS value, gaps[k] AS before, gaps[k + 1] AS after,
+         sum(length(gaps[k]) + length(found[k])) OVER (PARTITION BY r, kind_no ORDER BY k) AS stop, regexp_replace(found[k], '[^0-9]', '', 'g') AS digits
+  FROM each_match
+),
+base AS (
+  SELECT r, doc_id, digest, kind_no, kind, before, after, stop - length(value) AS start, stop,
+         kind || ':' || CASE kind WHEN 'email' THEN lower(value) WHEN 'ip' THEN value ELSE digits END AS entity
+  FROM matched
+  WHERE CASE kind
+    WHEN 'email' THEN true
+    WHEN 'ip' THEN len(list_filter(string_split(value, '.'), lambda x: length(ltrim(x, '0')) > 3 OR lpad(right(x, 3), 3, '0') > '255')) = 0
+    WHEN 'card' THEN length(digits) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i:
+      CAST(substr(reverse(digits), i, 1) AS INT) * (2 - i % 2) - CASE WHEN CAST(substr(reverse(digits), i, 1) AS INT) * (2 - i % 2) > 9 THEN 9 ELSE 0 END)) % 10 = 0
+    ELSE length(digits) BETWEEN 8 AND 15 END
+),
+near AS (
+  SELECT r, doc_id, digest, entity,
+         {words(before)} AS b, {words(after)} AS a
+  FROM base
+),
+mentions AS (
+  SELECT DISTINCT r, doc_id, digest, entity, term
+  FROM (SELECT r, doc_id, digest, entity, unnest(b[greatest(len(b) - 8, 0) + 1:] || a[1:8]) AS term FROM near)
+),
+entities AS (SELECT entity, count(*) AS n_c FROM (SELECT DISTINCT r, digest, entity FROM base) GROUP BY entity HAVING count(DISTINCT digest) > 1),
+pairs AS (SELECT entity, term, count(*) AS n_ct FROM mentions GROUP BY entity, term HAVING count(DISTINCT digest) > 1),
+terms AS (
+  SELECT term, count(*) AS n_t FROM (SELECT DISTINCT r, unnest({words("t")}) AS term FROM d)
+  WHERE term IN (SELECT term FROM pairs) GROUP BY term
+),
+total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM d),
+shares AS (
+  SELECT entity, term, ln(n * n_ct / (n_c * n_t)) / ln(n / n_c) AS disclosure
+  FROM pairs JOIN entities USING (entity) JOIN terms USING (term) CROSS JOIN total WHERE n_c < n
+),
+risky AS (SELECT DISTINCT r, term FROM mentions JOIN shares USING (entity, term) WHERE disclosure >= 0.6),
+hidden AS (
+  SELECT r, coalesce(string_agg(gaps[k] || coalesce(repeat('.', length(found[k])), ''), '' ORDER BY k), '') AS t
+  FROM (SELECT r, gaps, found, unnest(range(1, len(gaps) + 1)) AS k FROM lists WHERE kind = 'email' AND r IN (SELECT r FROM risky)) GROUP BY r
+),
+word_lists AS (SELECT r, regexp_extract_all(t, '{letters}') AS found, string_split_regex(t, '{letters}') AS gaps FROM hidden),
+word_matches AS (
+  SELECT r, found[k] AS value, sum(length(gaps[k]) + length(found[k])) OVER (PARTITION BY r ORDER BY k) AS stop
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS k FROM word_lists)
+),
+added AS (SELECT r, 4 AS kind_no, 'term' AS kind, stop - length(value) AS start, stop FROM word_matches w JOIN risky USING (r) WHERE lower(value) = term),
+spans AS (
+  SELECT r, kind_no, kind, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span, start FROM base
+  UNION ALL SELECT r, kind_no, kind, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), start FROM added
+),
+per_row AS (
+  SELECT r, {n}, CAST(count(*) FILTER (kind = 'term') AS BIGINT) AS n_term,
+         string_agg(span, ',' ORDER BY kind_no, start) FILTER (kind <> 'term') AS base_spans, string_agg(span, ',' ORDER BY kind_no, start) AS spans
+  FROM spans GROUP BY r
+)
+SELECT doc_id, {counts}, sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_term, 0) AS n_term
+FROM d LEFT JOIN per_row USING (r)"""
+
+
 ORACLE_SQL = {
     "op2_suffix_dedup": suffix_dedup_sql(),
     "op3_warc": warc_sql(),
@@ -172,4 +256,5 @@ ORACLE_SQL = {
     "op10_fm_dedup": fm_dedup_sql(),
     "op11_fill_in_middle": fill_in_middle_sql(),
     "op12_spelling_variants": spelling_variants_sql(),
+    "op13_pii_sanitize": pii_sanitize_sql(),
 }

@@ -18,6 +18,7 @@ from rateflow.llm.op9_bag_minhash import op9_bag_minhash
 from rateflow.llm.op10_fm_dedup import op10_fm_dedup
 from rateflow.llm.op11_fill_in_middle import op11_fill_in_middle
 from rateflow.llm.op12_spelling_variants import op12_spelling_variants
+from rateflow.llm.op13_pii_sanitize import op13_pii_sanitize
 from rateflow.llm.oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -35,5 +36,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fm_dedup": op10_fm_dedup,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_pii_sanitize": op13_pii_sanitize,
 }
 

@@ -13,7 +13,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 13)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
