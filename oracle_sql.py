@@ -60,7 +60,10 @@ EARLIER = {
 }
 STUMP_FEATURES = ["is_open", "avg_noise", "has_WiFi", "business_price", "avg_weekend_days"]
 MIN_LEAF = 20
-SMALL_PAIRS = [(5, 3), (5, 5), (10, 4)]
+STUMP_PAIRS = [(1, 1), (2, 1), (3, 1), (5, 1), (8, 1)]
+NODE_ROUNDS = 4
+LEARNING_RATE = 0.1
+PAGE = 50
 LOOKUPS = {
     "user_avg_rating": "u_average_stars", "users_review_count": "u_review_count",
     "useful": "u_useful", "funny": "u_funny", "cool": "u_cool",
@@ -309,6 +312,68 @@ FROM m_val CROSS JOIN best""",
     )
 
 
+def _rounds(rounds: int, rows: str) -> str:
+    """Boosted stumps on ``rows``, one relation per round: ``best_k`` (the split) and ``g_k`` (groups of equal features, prediction so far).
+
+    The first stump is fitted to the labels and counts in full, later ones to twice
+    what is missing and count by the learning rate.
+    """
+    names = ", ".join(STUMP_FEATURES)
+    chosen = "CASE f " + " ".join(f"WHEN {i} THEN {n}" for i, n in enumerate(STUMP_FEATURES)) + " END"
+    ctes = [f"g_0 AS (SELECT {names}, count(*) AS n, sum(label) AS s, CAST(0 AS DOUBLE) AS p FROM {rows} GROUP BY {names})"]
+    for k in range(1, rounds + 1):
+        target = "s" if k == 1 else "2 * (s - n * p)"
+        values = " UNION ALL ".join(f"SELECT {i} AS f, CAST({c} AS DOUBLE) AS v, n, {target} AS s FROM g_{k - 1}" for i, c in enumerate(STUMP_FEATURES))
+        weight = 1.0 if k == 1 else LEARNING_RATE
+        ctes.append(f"""
+best_{k} AS (
+  SELECT {k} AS round, f, (v + next_v) / 2 AS cut, s / n AS mean_all, sl / nl AS mean_left, (s - sl) / (n - nl) AS mean_right, CAST({weight} AS DOUBLE) AS weight
+  FROM (
+    SELECT f, v, lead(v) OVER w AS next_v, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER (PARTITION BY f) AS n, sum(s) OVER (PARTITION BY f) AS s
+    FROM (SELECT f, v, sum(n) AS n, sum(s) AS s FROM ({values}) GROUP BY f, v) WINDOW w AS (PARTITION BY f ORDER BY v)
+  )
+  WHERE next_v IS NOT NULL AND nl >= {MIN_LEAF} AND n - nl >= {MIN_LEAF}
+  ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, f, cut LIMIT 1
+),
+g_{k} AS (SELECT {names}, n, s, p + weight * CASE WHEN {chosen} <= cut THEN mean_left ELSE mean_right END AS p FROM g_{k - 1} CROSS JOIN best_{k})""")
+    return ",".join(ctes)
+
+
+def _stump_search() -> str:
+    most = max(r for r, _ in STUMP_PAIRS)
+    chosen = "CASE f " + " ".join(f"WHEN {i} THEN {n}" for i, n in enumerate(STUMP_FEATURES)) + " END"
+    splits = " UNION ALL ".join(f"SELECT * FROM best_{k}" for k in range(1, most + 1))
+    tried = " UNION ALL ".join(f"""
+SELECT CAST({rounds} AS BIGINT) AS rounds, CAST({depth} AS BIGINT) AS depth, sqrt(avg((p - label) * (p - label))) AS rmse
+FROM (SELECT label, sum(weight * CASE WHEN {chosen} <= cut THEN mean_left ELSE mean_right END) AS p
+      FROM tested CROSS JOIN splits WHERE round <= {rounds} GROUP BY row_no, label)""" for rounds, depth in STUMP_PAIRS)
+    return _with(
+        f""", {_matrix_cte(STUMP_FEATURES)},
+dealt AS (SELECT *, CAST('0x' || substr(md5(user_id || '|' || business_id || '|39'), 1, 8) AS BIGINT) % 5 = 0 AS held_out FROM m_train),
+grown AS (SELECT * FROM dealt WHERE NOT held_out),
+tested AS (SELECT *, row_number() OVER () AS row_no FROM dealt WHERE held_out),
+{_rounds(most, "grown")},
+splits AS ({splits}),
+tried AS ({tried})
+SELECT rounds, depth, {r6('rmse')} AS rmse, (rounds, depth) = (SELECT (rounds, depth) FROM tried ORDER BY rmse, rounds LIMIT 1) AS best FROM tried""",
+        gaps=True,
+    )
+
+
+def _stump_nodes() -> str:
+    named = "CASE f " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(STUMP_FEATURES)) + " END"
+    rows = []
+    for k in range(1, NODE_ROUNDS + 1):
+        for node, value in ((0, "mean_all"), (1, "mean_left"), (2, "mean_right")):
+            root = node == 0
+            rows.append(
+                f"SELECT CAST({k - 1} AS BIGINT) AS tree, CAST({node} AS BIGINT) AS node, {named if root else 'NULL'} AS feature, "
+                f"{r6('cut') if root else 'NULL'} AS threshold, CAST({1 if root else 'NULL'} AS BIGINT) AS left, CAST({2 if root else 'NULL'} AS BIGINT) AS right, "
+                f"{r6(value)} AS value, {r6('weight')} AS weight FROM best_{k}"
+            )
+    return _with(f", {_matrix_cte(STUMP_FEATURES)}, {_rounds(NODE_ROUNDS, 'm_train')}\n" + "\nUNION ALL\n".join(rows), gaps=True)
+
+
 MEAN_PRED = "(SELECT avg(label) FROM train)"
 
 
@@ -356,8 +421,23 @@ FROM part"""
         "SELECT postal_code, CAST(rivals AS BIGINT) AS rivals FROM rivals ORDER BY postal_code LIMIT 10"
     )
     last = "SELECT user_id, business_id, CAST(t_likes AS BIGINT) AS t_likes FROM tips ORDER BY user_id DESC, business_id DESC LIMIT 1"
-    q["preview_last"] = _with(last)
-    q["preview_fifth_last"] = _with(f"{last} OFFSET 4")
+    q["preview_last_pair"] = _with(last)
+    q["preview_fifth_last_pair"] = _with(f"{last} OFFSET 4")
+    read = """FROM (
+  SELECT l_orderkey, l_linenumber, CAST(o_custkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS business_id,
+         CAST(1 + CAST(l_quantity AS BIGINT) % 5 AS DOUBLE) AS stars, o_orderdate < TIMESTAMP '{date}' AS is_train
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+) WHERE {which} ORDER BY l_orderkey DESC, l_linenumber DESC, user_id DESC, business_id DESC, stars DESC LIMIT 1"""
+    q["preview_last"] = f"SELECT user_id, business_id, {r6('stars')} AS original_rating " + read.format(date=SPLIT_DATE, which="NOT is_train")
+    q["preview_fifth_last"] = f"SELECT business_id, user_id, {r6('stars')} AS stars " + read.format(date=SPLIT_DATE, which="is_train") + " OFFSET 4"
+    damage = """SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS postal_code, CASE p_partkey % 10 WHEN 3 THEN 'malformed' WHEN 5 THEN 'blank' WHEN 7 THEN 'no key business_id' END AS reason FROM part"""
+    q["src_json_quarantine"] = f"""
+SELECT CASE WHEN reason IS NULL THEN id END AS business_id, CASE WHEN reason IS NULL THEN postal_code END AS postal_code, reason,
+       CASE reason WHEN 'malformed' THEN '{{"business_id":"' || id || '"' WHEN 'blank' THEN '  ' WHEN 'no key business_id' THEN '{{"name":"' || id || '"}}' END AS line
+FROM ({damage})"""
+    q["src_json_quarantine_counts"] = (
+        f"SELECT CAST(count(*) FILTER (reason IS NULL) AS BIGINT) AS n_kept, CAST(count(*) FILTER (reason IS NOT NULL) AS BIGINT) AS n_rejected FROM ({damage})"
+    )
     q["preview_key"] = _with(f"SELECT business_id, {r6('stars')} AS stars FROM biz WHERE business_id = '1'")
     # per-line features
     q["checkin_total"] = _with("SELECT business_id, CAST(checkins AS BIGINT) AS checkins FROM checkins")
@@ -461,6 +541,12 @@ FROM part"""
     )
     q["review_count_user"] = _with("SELECT user_id, CAST(count(*) AS BIGINT) AS reviews FROM train GROUP BY 1")
     q["user_rating_list"] = _with(f"SELECT user_id, business_id, {r6('rating')} AS rating FROM train")
+    q["user_rating_pages"] = _with(
+        f""", placed AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY encode(business_id), rating) - 1 AS place FROM train)
+SELECT user_id, CAST(place // {PAGE} AS BIGINT) AS page, CAST(count(*) AS BIGINT) AS n, string_agg(business_id, ',' ORDER BY place) AS businesses,
+       string_agg(CAST(rating AS VARCHAR), ',' ORDER BY place) AS stars
+FROM placed GROUP BY 1, 2"""
+    )
     # features and scaling
     q["feature_matrix"] = _matrix(FEATURES_29)
     q["feature_matrix_v32"] = _matrix(FEATURES_32)
@@ -476,9 +562,20 @@ FROM part"""
     q["gbt_check"] = _with(
         "SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_null, true AS not_above_mean FROM val", gaps=True
     )
-    pairs = ", ".join(f"({rounds}, {depth})" for rounds, depth in SMALL_PAIRS)
-    q["gbt_search_small"] = (
-        f"SELECT CAST(rounds AS BIGINT) AS rounds, CAST(depth AS BIGINT) AS depth, true AS finite, true AS least_if_chosen "
-        f"FROM (VALUES {pairs}) AS p(rounds, depth)"
+    q["gbt_search_small"] = _stump_search()
+    q["gbt_nodes"] = _stump_nodes()
+    # collaborative filtering
+    q["user_index"] = _with(
+        "SELECT user_id, CAST(row_number() OVER (ORDER BY encode(user_id)) - 1 AS BIGINT) AS idx FROM (SELECT DISTINCT user_id FROM train)"
+    )
+    q["als_origins"] = _with(
+        f""", pair AS (SELECT user_id, business_id, avg(label) AS label FROM train GROUP BY 1, 2),
+um AS (SELECT user_id, avg(label) AS m FROM pair GROUP BY 1),
+bm AS (SELECT business_id, avg(label) AS m FROM pair GROUP BY 1)
+SELECT v.user_id, v.business_id, {r6('v.label')} AS label,
+       CASE WHEN um.m IS NOT NULL AND bm.m IS NOT NULL THEN 'factors' WHEN um.m IS NOT NULL THEN 'user'
+            WHEN bm.m IS NOT NULL THEN 'business' ELSE 'mean' END AS origin,
+       CASE WHEN um.m IS NULL OR bm.m IS NULL THEN {r6('coalesce(um.m, bm.m, (SELECT avg(label) FROM pair))')} END AS mean_prediction
+FROM val v LEFT JOIN um USING (user_id) LEFT JOIN bm USING (business_id)"""
     )
     return q

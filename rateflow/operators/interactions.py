@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.functions.missing import as_number, has_text, truthy_number
+from rateflow.operators.ranks import with_rank
 from rateflow.sources.json_lines import parse_json_lines
 from rateflow.sources.schemas import REVIEW, REVIEW_KEYS, TIP, TIP_KEYS
+from rateflow.sources.text import SEQ
 
 
-def review_projection(lines: DataFrame) -> DataFrame:
-    """``business_id, stars`` of reviews whose ids and stars are all truthy."""
+def review_projection(lines: DataFrame, keep_order: bool = False) -> DataFrame:
+    """``business_id, stars`` of reviews whose ids and stars are all truthy (and the place read at)."""
     reviews = parse_json_lines(lines, REVIEW, required=REVIEW_KEYS)
     kept = reviews.filter(
         has_text("business_id") & has_text("user_id") & truthy_number("stars")
     )
-    return kept.select("business_id", "user_id", as_number("stars").alias("stars"))
+    place = [SEQ] if keep_order else []
+    return kept.select("business_id", "user_id", as_number("stars").alias("stars"), *place)
 
 
 def tip_likes(lines: DataFrame) -> DataFrame:
@@ -54,3 +57,25 @@ def user_rating_list(ratings: DataFrame) -> DataFrame:
     several tasks instead of one array in one task.
     """
     return ratings.select("user_id", "business_id", "rating").orderBy("user_id", "business_id", "rating")
+
+
+#: Ratings of one user in one page.
+PAGE = 50
+
+
+def user_rating_pages(ratings: DataFrame, folder: str, size: int = PAGE) -> DataFrame:
+    """Each user's (business, rating) list as pages: ``user_id, page, ratings`` of ``size`` at most.
+
+    Pages follow the order of business and rating. Places come from one range
+    sort over (user, business, rating), so a user with a third of all
+    ratings is sorted by several tasks, and its pages are gathered by several too.
+    """
+    order = ["user_id", "business_id", "rating"]
+    ranked = with_rank(ratings.select(*order), order, folder, "ratings_by_user")
+    first = ranked.groupBy("user_id").agg(F.min("rank").alias("first"))
+    placed = ranked.join(first, "user_id").withColumn("place", F.col("rank") - F.col("first"))
+    paged = placed.groupBy("user_id", F.floor(F.col("place") / size).alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct("place", "business_id", "rating"))).alias("ratings")
+    )
+    rows = F.transform("ratings", lambda r: F.struct(r["business_id"].alias("business_id"), r["rating"].alias("rating")))
+    return paged.select("user_id", "page", rows.alias("ratings"))

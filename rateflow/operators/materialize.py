@@ -43,7 +43,7 @@ def remove_run_folders(*folders: str) -> None:
 atexit.register(remove_run_folders)
 
 
-def materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
+def materialize(df: DataFrame, folder: str, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet under ``folder`` and return a frame reading it back.
 
     Unlike ``checkpoint()`` on an uncached frame this computes ``df`` once.
@@ -52,7 +52,7 @@ def materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
     re-derivation; the reader also gives the planner the real table size.
     """
     path = f"{folder}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.parquet(path)
 
 

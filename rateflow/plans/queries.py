@@ -11,7 +11,6 @@ to 6 places.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,13 +33,15 @@ from rateflow.plans.features import (
     train_ratings,
     val_ratings,
 )
-from rateflow.plans.model import fit_gbt, predict, search
-from rateflow.sources.csv_ratings import parse_rating_lines, rated_rows, val_frame
+from rateflow.operators.ranks import key_index
+from rateflow.plans.collaborative import fit_als, predict_als
+from rateflow.plans.model import fit_gbt, held_out, predict, staged_search, tree_nodes
+from rateflow.sources.csv_ratings import drop_header, parse_rating_lines, rated_rows, val_frame
 from rateflow.sources.inputs import Inputs
-from rateflow.sources.json_lines import parse_json_lines
+from rateflow.sources.json_lines import parse_json_lines, quarantine_json_lines
 from rateflow.sources.schemas import BUSINESS, BUSINESS_KEYS
 from rateflow.sources.sink import write_predictions
-from rateflow.sources.tables import inputs_from_tables, rating_file
+from rateflow.sources.tables import damaged_business_lines, inputs_from_tables, ordered_files, rating_file
 from rateflow.sources.text import read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +50,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # own 200 x 9 and its search pairs run through ``run_pipeline``.
 QUERY_ROUNDS = 10
 QUERY_DEPTH = 5
-QUERY_PAIRS = [(5, 3), (5, 5), (10, 4)]
+# Pairs of depth 1, whose models SQL can compute too.
+STUMP_PAIRS = [(1, 1), (2, 1), (3, 1), (5, 1), (8, 1)]
+NODE_ROUNDS = 4
 # Features of few distinct values: a stump over them has every split as a candidate.
 STUMP_FEATURES = ["is_open", "avg_noise", "has_WiFi", "business_price", "avg_weekend_days"]
 
@@ -121,11 +124,37 @@ def preview_limit(spark, sf_dir):
     return evaluate.preview(biz.rivals_per_area(_business_rows(spark, sf_dir)), ["postal_code"], 10)
 
 
+def src_json_quarantine(spark, sf_dir):
+    """Kept and rejected lines of business lines with planted damage."""
+    found = quarantine_json_lines(damaged_business_lines(spark, sf_dir), BUSINESS, new_run_folder(spark), "business", BUSINESS_KEYS)
+    kept = found.kept.select("business_id", "postal_code", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("line"))
+    none = F.lit(None).cast("string")
+    return kept.unionByName(found.rejected.select(none.alias("business_id"), none.alias("postal_code"), "reason", F.col("value").alias("line")))
+
+
+def src_json_quarantine_counts(spark, sf_dir):
+    """The counts observed while the lines were told apart."""
+    found = quarantine_json_lines(damaged_business_lines(spark, sf_dir), BUSINESS, new_run_folder(spark), "business", BUSINESS_KEYS)
+    return spark.createDataFrame([(found.n_kept, found.n_rejected)], "n_kept bigint, n_rejected bigint")
+
+
 def preview_last(spark, sf_dir):
-    return evaluate.preview_from_end(_dims(spark, sf_dir).tips, ["user_id", "business_id"])
+    """The last line of the validation file."""
+    lines = drop_header(read_lines(spark, ordered_files(spark, sf_dir, new_run_folder(spark))[0]))
+    return val_frame(evaluate.preview_read(lines), header="")
 
 
 def preview_fifth_last(spark, sf_dir):
+    """The 5th-last kept review of the review file."""
+    lines = read_lines(spark, ordered_files(spark, sf_dir, new_run_folder(spark))[1])
+    return evaluate.preview_read(ix.review_projection(lines, keep_order=True), 5)
+
+
+def preview_last_pair(spark, sf_dir):
+    return evaluate.preview_from_end(_dims(spark, sf_dir).tips, ["user_id", "business_id"])
+
+
+def preview_fifth_last_pair(spark, sf_dir):
     return evaluate.preview_from_end(_dims(spark, sf_dir).tips, ["user_id", "business_id"], 5)
 
 
@@ -209,6 +238,14 @@ def user_rating_list(spark, sf_dir):
     return ix.user_rating_list(_body_ratings(spark, sf_dir))
 
 
+def user_rating_pages(spark, sf_dir):
+    pages = ix.user_rating_pages(_body_ratings(spark, sf_dir), new_run_folder(spark))
+    return pages.select(
+        "user_id", "page", F.size("ratings").alias("n"), F.array_join(F.col("ratings.business_id"), ",").alias("businesses"),
+        F.array_join(F.transform("ratings", lambda r: r["rating"].cast("string")), ",").alias("stars"),
+    )
+
+
 def feature_domain(spark, sf_dir):
     rows = _business_rows(spark, sf_dir)
     return stats.feature_domain(
@@ -374,13 +411,48 @@ def gbt_check(spark, sf_dir):
     )
 
 
+def _stump_frames(spark, sf_dir):
+    """Training matrix of the stump features, stored; spread over the slots."""
+    stored = _stored(spark, sf_dir)
+    return spread_for_compute(materialize(_matrix(stored, STUMP_FEATURES), new_run_folder(spark), "train_matrix"))
+
+
 def gbt_search_small(spark, sf_dir):
-    """The search over small pairs: each pair, whether it has a finite RMSE, and whether the chosen one has the least."""
-    train, _ = _model_frames(spark, sf_dir)
-    found = search(train, FEATURES_29, QUERY_PAIRS)
-    best = min(r for _, _, r in found.tried)
-    rows = [(rounds, depth, math.isfinite(r), (rounds, depth) != found.best or r == best) for rounds, depth, r in found.tried]
-    return spark.createDataFrame(rows, "rounds bigint, depth bigint, finite boolean, least_if_chosen boolean")
+    """The staged search over pairs of depth 1: held-out RMSE of each pair and whether it is the best."""
+    train = _stump_frames(spark, sf_dir)
+    tried = staged_search(train.filter(~held_out()), train.filter(held_out()), STUMP_FEATURES, STUMP_PAIRS)
+    best = min(tried, key=lambda t: t[2])
+    return spark.createDataFrame([(*t, t == best) for t in tried], "rounds bigint, depth bigint, rmse double, best boolean")
+
+
+def gbt_nodes(spark, sf_dir):
+    """The stored trees of a model of several rounds of depth 1."""
+    train = _stump_frames(spark, sf_dir)
+    return tree_nodes(fit_gbt(train, STUMP_FEATURES, max_iter=NODE_ROUNDS, max_depth=1), new_run_folder(spark))
+
+
+# --- collaborative filtering -------------------------------------------------
+
+def user_index(spark, sf_dir):
+    """Each user of the training file and its number in the factor model."""
+    return key_index(train_ratings(_inputs(spark, sf_dir)), "user_id", new_run_folder(spark), "users")
+
+
+def _als(spark, sf_dir):
+    folder = new_run_folder(spark)
+    inp = inputs_from_tables(spark, sf_dir, folder=folder)
+    fitted = fit_als(train_ratings(inp), folder)
+    return predict_als(fitted, val_ratings(inp))
+
+
+def als_predictions(spark, sf_dir):
+    return _als(spark, sf_dir).select("user_id", "business_id", "label", "prediction")
+
+
+def als_origins(spark, sf_dir):
+    """Where each prediction comes from, and its value where that is a mean."""
+    mean = F.when(F.col("origin") != "factors", F.col("prediction"))
+    return _als(spark, sf_dir).select("user_id", "business_id", "label", "origin", mean.alias("mean_prediction"))
 
 
 QUERIES: dict[str, Query] = {
@@ -393,7 +465,11 @@ QUERIES: dict[str, Query] = {
     "preview_limit": preview_limit,
     "preview_last": preview_last,
     "preview_fifth_last": preview_fifth_last,
+    "preview_last_pair": preview_last_pair,
+    "preview_fifth_last_pair": preview_fifth_last_pair,
     "preview_key": preview_key,
+    "src_json_quarantine": src_json_quarantine,
+    "src_json_quarantine_counts": src_json_quarantine_counts,
     # per-line features
     "checkin_total": checkin_total,
     "review_projection": review_projection,
@@ -434,6 +510,7 @@ QUERIES: dict[str, Query] = {
     "rating_mean_group": rating_mean_group,
     "review_count_user": review_count_user,
     "user_rating_list": user_rating_list,
+    "user_rating_pages": user_rating_pages,
     # features and model
     "feature_matrix": q_feature_matrix,
     "feature_matrix_v32": feature_matrix_v32,
@@ -450,4 +527,9 @@ QUERIES: dict[str, Query] = {
     "gbt_search_small": gbt_search_small,
     "gbt_predictions_small": gbt_predictions_small,
     "gbt_error_hist_small": gbt_error_hist_small,
+    "gbt_nodes": gbt_nodes,
+    # collaborative filtering
+    "user_index": user_index,
+    "als_predictions": als_predictions,
+    "als_origins": als_origins,
 }

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rateflow.operators.materialize import materialize
 from rateflow.sources.text import SEQ, read_order
 
 CORRUPT = "_corrupt_record"
@@ -51,3 +54,45 @@ def parse_json_lines(
     extra = ["value"] if keep_line else []
     fields = [_checked(f.name) if strict and f.name in required else F.col(f"_rec.{f.name}") for f in schema.fields]
     return parsed.select(*fields, *extra, SEQ)
+
+
+@dataclass
+class Quarantine:
+    """Lines told apart: parsed rows, bad lines with the reason, and how many of each."""
+
+    kept: DataFrame  # the schema's columns, value, _seq
+    rejected: DataFrame  # value, reason, _seq
+    n_kept: int
+    n_rejected: int
+
+
+def quarantine_json_lines(
+    lines: DataFrame, schema: T.StructType, folder: str, name: str, required: tuple[str, ...] = ()
+) -> Quarantine:
+    """Parse as ``FAILFAST`` would, but set bad lines aside instead of stopping.
+
+    A line is bad if it is ``blank``, ``malformed``, or has ``no key X``: what
+    stops the strict mode. Rows are parsed once and stored as one table dealt by
+    outcome; the counts are observed while it is written.
+    """
+    fields = list(schema.fields) + [T.StructField(CORRUPT, T.StringType())]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    text = F.translate(F.col("value"), "'", "")
+    staged = lines.select(text.alias("_json"), "value", read_order(lines))
+    parsed = staged.select(F.from_json("_json", T.StructType(fields), options).alias("_rec"), "_json", "value", SEQ)
+    reason = F.when(F.trim("_json") == "", "blank")
+    reason = reason.when(F.col("_rec").isNull() | F.col(f"_rec.{CORRUPT}").isNotNull(), "malformed")
+    keys = F.json_object_keys(F.col("_json"))
+    for field in required:
+        absent = ~F.coalesce(F.array_contains(keys, F.lit(field)), F.lit(False))
+        reason = reason.when(F.col(f"_rec.{field}").isNull() & absent, f"no key {field}")
+    judged = parsed.select(*[F.col(f"_rec.{f.name}") for f in schema.fields], "value", SEQ, reason.alias("reason"))
+    kept = F.col("reason").isNull()
+    judged = judged.withColumn("_outcome", F.when(kept, "kept").otherwise("rejected"))
+    seen = Observation(f"{name}_quarantine")
+    counted = judged.observe(seen, F.count_if(kept).alias("kept"), F.count_if(~kept).alias("rejected"))
+    stored = materialize(counted, folder, name, partition_by="_outcome")
+    return Quarantine(
+        stored.where("_outcome = 'kept'").drop("reason", "_outcome"), stored.where("_outcome = 'rejected'").select("value", "reason", SEQ),
+        seen.get["kept"], seen.get["rejected"],
+    )

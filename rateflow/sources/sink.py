@@ -1,10 +1,13 @@
-"""Prediction sink."""
+"""Prediction and model sinks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rateflow.operators.materialize import new_run_folder, remove_run_folders
+from rateflow.plans.model import tree_nodes
+
 
 def prediction_frame(predictions: DataFrame, prediction_col: str = "prediction") -> DataFrame:
     """Keep ``user_id, business_id`` and the prediction, named ``prediction``."""
@@ -28,3 +31,10 @@ def write_predictions(
         .option("encoding", "UTF-8")
         .csv(path)
     )
+
+
+def write_model(model, path: str, mode: str = "overwrite") -> None:
+    """A fitted boosted model as a parquet table of tree nodes (see ``tree_nodes``), which any engine can walk."""
+    folder = new_run_folder(SparkSession.active())
+    tree_nodes(model, folder).write.mode(mode).parquet(path)
+    remove_run_folders(folder)

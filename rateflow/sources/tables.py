@@ -214,6 +214,33 @@ def inputs_from_tables(spark: SparkSession, sf_dir: str, gaps: bool = False, fol
     )
 
 
+def ordered_files(spark: SparkSession, sf_dir: str, folder: str) -> tuple[str, str]:
+    """Validation file and review file, their lines in the order of order key and line number: the paths to read them by."""
+    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_linenumber")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    rated = li.join(orders, li.l_orderkey == orders.o_orderkey).select(
+        "l_orderkey", "l_linenumber", F.col("o_custkey").cast("string").alias("user_id"), F.col("l_partkey").cast("string").alias("business_id"),
+        (F.lit(1.0) + F.col("l_quantity").cast("bigint") % 5).alias("stars"),
+        (F.col("o_orderdate") < F.lit(SPLIT_DATE).cast("timestamp_ntz")).alias("is_train"),
+    )
+    rated = rated.orderBy("l_orderkey", "l_linenumber", "user_id", "business_id", "stars")
+    val = rated.filter(~F.col("is_train")).select(F.concat_ws(",", "user_id", "business_id", F.col("stars").cast("string")).alias("value"))
+    spark.range(1).select(F.lit(RATINGS_HEADER).alias("value")).write.text(f"{folder}/val/0-header")
+    val.write.text(f"{folder}/val/1-body")
+    _json_lines(rated.filter("is_train"), "user_id", "business_id", "stars").write.text(f"{folder}/review")
+    return f"{folder}/val/*", f"{folder}/review"
+
+
+def damaged_business_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The business lines with planted damage by part key: cut off, blank, and without an id."""
+    lines = business_lines(spark, sf_dir).withColumn("id", F.get_json_object("value", "$.business_id"))
+    kind = F.col("id").cast("bigint") % 10
+    cut = F.concat(F.lit('{"business_id":"'), "id", F.lit('"'))
+    return lines.select(
+        F.when(kind == 3, cut).when(kind == 5, "  ").when(kind == 7, F.concat(F.lit('{"name":"'), "id", F.lit('"}'))).otherwise(F.col("value")).alias("value")
+    )
+
+
 def rating_file(spark: SparkSession, sf_dir: str, folder: str, which: str = "train") -> str:
     """Write the rating lines as text files, the header in the first; the path to read them by."""
     rated = _rated_items(spark, sf_dir)

@@ -36,7 +36,7 @@ def _rows(cols, rows):
 
 
 def test_every_query_has_an_entry():
-    model_queries = {"gbt_predictions_small", "gbt_error_hist_small"}
+    model_queries = {"gbt_predictions_small", "gbt_error_hist_small", "als_predictions"}
     assert set(QUERIES) - set(SQL) == model_queries
     assert set(SQL) <= set(entry.oracle_sql()) and set(QUERIES) <= set(entry.queries())
 
