@@ -74,7 +74,9 @@ def user_rating_pages(ratings: DataFrame, folder: str, size: int = PAGE) -> Data
     ranked = with_rank(ratings.select(*order), order, folder, "ratings_by_user")
     first = ranked.groupBy("user_id").agg(F.min("rank").alias("first"))
     placed = ranked.join(first, "user_id").withColumn("place", F.col("rank") - F.col("first"))
-    paged = placed.groupBy("user_id", F.floor(F.col("place") / size).alias("page")).agg(
+    # Without this the pages would be gathered where the join left them: one task per user.
+    placed = placed.withColumn("page", F.floor(F.col("place") / size)).repartition("user_id", "page")
+    paged = placed.groupBy("user_id", "page").agg(
         F.sort_array(F.collect_list(F.struct("place", "business_id", "rating"))).alias("ratings")
     )
     rows = F.transform("ratings", lambda r: F.struct(r["business_id"].alias("business_id"), r["rating"].alias("rating")))
