@@ -549,6 +549,7 @@ FROM placed GROUP BY 1, 2"""
     )
     # features and scaling
     q["feature_matrix"] = _matrix(FEATURES_29)
+    q["feature_matrix_bucketed"] = _matrix(FEATURES_29)
     q["feature_matrix_v32"] = _matrix(FEATURES_32)
     q["feature_matrix_v15"] = _matrix(FEATURES_15)
     for name, features in EARLIER.items():

@@ -19,6 +19,7 @@ def main(args: list[str] | None = None) -> int:
     parser.add_argument("--depth", type=int, default=DEPTH)
     parser.add_argument("--max-bins", type=int, default=MAX_BINS)
     parser.add_argument("--search", action="store_true", help=f"choose among the (rounds, depth) pairs {SEARCH_PAIRS}")
+    parser.add_argument("--bucketed", action="store_true", help="look values up over bucketed storage")
     parser.add_argument("--parity", action="store_true", help="keep the original arithmetic where code and intent differ")
     given = parser.parse_args(args)
     spark = build_session(given.master)
@@ -26,6 +27,7 @@ def main(args: list[str] | None = None) -> int:
     result = run_pipeline(
         spark, given.input_folder, given.val_file, given.output, parity=given.parity, max_iter=given.rounds,
         max_depth=given.depth, max_bins=given.max_bins, search_pairs=SEARCH_PAIRS if given.search else None,
+        bucketed=given.bucketed,
     )
     for bucket, n in result.histogram:
         print(f"bucket {bucket}: {n}")

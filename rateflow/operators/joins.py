@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest dimension broadcast to every task: rows counted, times an upper estimate of a row's width.
+# Largest dimension broadcast to every task, in memory.
 BROADCAST_MAX_BYTES = 128 * 1024 * 1024
+# Bytes in memory per byte of a stored (compressed, encoded) table.
+EXPANSION = 8
 
 # Feature column -> dimension column it is looked up from.
 LOOKUPS = {
@@ -59,15 +61,28 @@ def row_bytes(schema: T.StructType) -> int:
     return 8 + sum(_WIDTH.get(type(f.dataType), 128) for f in schema.fields)
 
 
+def stored_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files that a stored table is read from; None for other frames."""
+    spark = df.sparkSession
+    folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
+    if not folders:
+        return None
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(folder) for folder in folders]
+    return sum(path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength() for path in paths)
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when its counted rows, at an estimated width, fit; else leave it to a shuffle join.
+    """Broadcast ``df`` only when it fits; else leave it to a shuffle join.
 
-    Runs a count, so call it on a materialised (checkpointed) frame. Without
-    this check the planner still broadcasts a side only when AQE measures its
+    A stored table is sized by its own files, times what its columns grow to
+    in memory (``EXPANSION``); any other frame by its counted rows at an
+    estimated width. Without this check the planner still broadcasts a side only when AQE measures its
     shuffle output under ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
     above it the join is a sort-merge join with skewed partitions split.
     """
-    if df.count() * row_bytes(df.schema) <= max_bytes:
+    files = stored_bytes(df)
+    size = df.count() * row_bytes(df.schema) if files is None else files * EXPANSION
+    if size <= max_bytes:
         return F.broadcast(df)
     return df
 

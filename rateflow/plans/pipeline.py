@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rateflow.functions.user import DEFAULT_AS_OF
 from rateflow.operators.standardize import standardize
+from rateflow.plans.bucketed import BucketedRows
 from rateflow.plans.evaluate import error_histogram, rmse
 from rateflow.plans.features import (
     feature_matrix,
@@ -25,7 +26,8 @@ from rateflow.sources.sink import write_predictions
 
 
 # Tables under the run's folder that only this run reads.
-TABLES = ("area_dim", "business_dim", "user_dim", "tip_dim", "train_matrix", "val_matrix")
+TABLES = ("area_dim", "business_dim", "user_dim", "tip_dim", "train_matrix", "val_matrix",
+          "rated_rows", "hot_user_id", "hot_business_id", "buckets")
 
 
 @dataclass
@@ -62,6 +64,7 @@ def run_pipeline(
     max_bins: int = MAX_BINS,
     search_pairs: list[tuple[int, int]] | None = None,
     keep_tables: bool = False,
+    bucketed: bool = False,
 ) -> PipelineResult:
     """Run the job end to end and return its metrics.
 
@@ -70,6 +73,8 @@ def run_pipeline(
     best (rounds, depth) pair is used instead of ``max_iter`` and ``max_depth``.
     The dimensions and matrices are removed at the end unless ``keep_tables``;
     the predictions stay until ``close()`` or the end of the process.
+    With ``bucketed`` the lookups run over bucketed storage (``plans.bucketed``),
+    which pays where the dimensions are too large to broadcast.
     Only the RMSE row and the five histogram rows reach the driver;
     predictions are written by the executors.
     """
@@ -85,8 +90,13 @@ def run_pipeline(
     dims = materialize_dimensions(inputs, folder, as_of, parity)
     stages["dimensions"] = time.time() - start
 
-    train = materialize(feature_matrix(train_ratings(inputs), dims, cols), folder, "train_matrix")
-    val = materialize(feature_matrix(val_ratings(inputs), dims, cols), folder, "val_matrix")
+    if bucketed:
+        rows = BucketedRows(train_ratings(inputs), val_ratings(inputs), dims, folder)
+        train, val = rows.matrix(folder, "train_matrix", cols), rows.matrix(folder, "val_matrix", cols, train=False)
+        rows.close()
+    else:
+        train = materialize(feature_matrix(train_ratings(inputs), dims, cols), folder, "train_matrix")
+        val = materialize(feature_matrix(val_ratings(inputs), dims, cols), folder, "val_matrix")
     train, val = standardize(spread_for_compute(train), spread_for_compute(val), cols, parity)
     stages["features"] = time.time() - start - sum(stages.values())
 

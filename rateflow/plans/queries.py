@@ -25,6 +25,7 @@ from rateflow.operators.joins import lookup
 from rateflow.operators.materialize import materialize, new_run_folder, spread_for_compute
 from rateflow.operators.standardize import standardize
 from rateflow.plans import evaluate
+from rateflow.plans.bucketed import BucketedRows
 from rateflow.plans.features import (
     FEATURES_29,
     build_dimensions,
@@ -332,6 +333,16 @@ def q_feature_matrix(spark, sf_dir):
     return _matrix(_stored(spark, sf_dir))
 
 
+def feature_matrix_bucketed(spark, sf_dir):
+    """The matrix by lookups over bucketed storage."""
+    folder = new_run_folder(spark)
+    inp = inputs_from_tables(spark, sf_dir, gaps=True, folder=folder)
+    rows = BucketedRows(train_ratings(inp), val_ratings(inp), materialize_dimensions(inp, folder), folder)
+    matrix = rows.matrix(folder, "train_matrix")
+    rows.close()
+    return matrix
+
+
 def feature_matrix_v32(spark, sf_dir):
     return _matrix(_stored(spark, sf_dir), "v32")
 
@@ -513,6 +524,7 @@ QUERIES: dict[str, Query] = {
     "user_rating_pages": user_rating_pages,
     # features and model
     "feature_matrix": q_feature_matrix,
+    "feature_matrix_bucketed": feature_matrix_bucketed,
     "feature_matrix_v32": feature_matrix_v32,
     "feature_matrix_v15": _earlier_matrix("v15"),
     "feature_matrix_v10": _earlier_matrix("v10"),
