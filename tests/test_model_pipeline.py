@@ -117,3 +117,12 @@ def test_bench_times_the_search(spark):
     assert signature(bench.search_times).parameters["pairs"].default == SEARCH_PAIRS and len(SEARCH_PAIRS) == 5
     got = bench.search_times(spark, inputs_from_tables(spark, SF_SMALL), [(1, 1), (1, 2)])
     assert [t[:2] for t in got["tried"]] == [(1, 1), (1, 2)] and got["seconds"] > 0
+
+
+def test_bench_reports_each_part(spark, capsys):
+    report = {"queries": {}, "unfinished": []}
+    bench.part(report, "one", lambda: None)
+    with pytest.raises(ZeroDivisionError):
+        bench.part(report, "two", lambda: 1 / 0)
+    assert report["unfinished"] == ["two"] and list(report["queries"]) == ["one"]
+    assert "bench: one" in capsys.readouterr().err
