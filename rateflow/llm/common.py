@@ -79,11 +79,11 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def row_groups(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive rows of ``limit`` bytes at most; a longer row stands alone."""
+def row_groups(sizes: np.ndarray, limit: int, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive rows of ``limit`` bytes (and ``rows`` rows) at most; a longer row stands alone."""
     lo, held = 0, 0
     for i, n in enumerate(sizes.tolist()):
-        if i > lo and held + n > limit:
+        if i > lo and (held + n > limit or i - lo == rows):
             yield lo, i
             lo, held = i, 0
         held += n
@@ -98,12 +98,12 @@ def padded(raw: np.ndarray) -> np.ndarray:
 
 
 def text_chunks(
-    batch: pa.RecordBatch, limit: int, id_col: str = "doc_id", text_col: str = "text"
+    batch: pa.RecordBatch, limit: int, id_col: str = "doc_id", text_col: str = "text", rows: int | None = None
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(ids, padded bytes, offsets) of runs of whole documents of ``limit`` bytes at most."""
+    """(ids, padded bytes, offsets) of runs of whole documents of ``limit`` bytes (and ``rows`` documents) at most."""
     ids = arrow_ids(batch.column(id_col))
     raw, at = text_buffer(batch.column(text_col))
-    for lo, hi in row_groups(np.diff(at), limit):
+    for lo, hi in row_groups(np.diff(at), limit, rows):
         yield ids[lo:hi], padded(raw[at[lo] : at[hi]]), at[lo : hi + 1] - at[lo]
 
 

@@ -52,7 +52,8 @@ BANDS, ROWS = 36, 7
 DEVIATIONS = 5
 #: By how much the number of members that a bucket compares with all others grows each turn.
 PIVOT_GROWTH = 64
-CHUNK = 2 << 20
+#: Bytes and documents sketched at once: a document draws some ten points a slot, however short it is.
+CHUNK, CHUNK_DOCS = 2 << 20, 256
 #: Weighted points of a document expected below its first time limit, beyond the slots' share.
 SLACK = 4.0
 
@@ -184,7 +185,7 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for ids, buf, offsets in text_chunks(batch, CHUNK):
+            for ids, buf, offsets in text_chunks(batch, CHUNK, rows=CHUNK_DOCS):
                 hashes, doc, weight = weighted(*shingles(buf, offsets))
                 n = np.bincount(doc, weights=weight, minlength=len(ids)).astype(np.int64)
                 signature = signatures(hashes, doc, weight, len(ids), 2 * bands * rows)
@@ -204,7 +205,7 @@ def multisets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for ids, buf, offsets in text_chunks(batch, CHUNK):
+            for ids, buf, offsets in text_chunks(batch, CHUNK, rows=CHUNK_DOCS):
                 hashes, doc, weight = weighted(*shingles(buf, offsets))
                 n = np.bincount(doc, weights=weight, minlength=len(ids)).astype(np.int64)
                 yield pa.RecordBatch.from_pydict({
