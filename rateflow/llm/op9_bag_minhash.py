@@ -21,7 +21,9 @@ different classes is left uncompared, and nothing is capped. A pair is looked at
 Before the true overlap, two bits of each slot (twice as many as the bands use) are
 compared: a pair at the threshold differs in 3/20 of the slots, and a pair
 ``DEVIATIONS`` standard deviations beyond that is none (chance 1.3e-6 at the
-threshold, 4e-12 at 0.84).
+threshold, 4e-12 at 0.84). From the second turn on a row carries its multiset to
+the bucket and the true overlap is tested there, so that a group of copies
+that are alike, but not enough, sends rows and not pairs.
 
 Recall: a pair of similarity 0.8 shares one of 36 bands of 7 with probability
 0.9998, one of 0.85 with 0.999999; the sieve adds 1.3e-6 to the loss of 2.1e-4
@@ -216,12 +218,17 @@ def multisets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "node binary, els array<int>")
 
 
+def overlap(ea: str, eb: str, threshold: float) -> Column:
+    """Whether two multisets overlap by ``threshold`` or more."""
+    common = F.size(F.array_intersect(ea, eb))
+    return common >= threshold * (F.size(ea) + F.size(eb) - common)
+
+
 def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Of the pairs (a, b), those whose multisets overlap by ``threshold`` or more."""
     one = pairs.join(sets.select(F.col("node").alias("a"), F.col("els").alias("ea")), "a")
     two = one.join(sets.select(F.col("node").alias("b"), F.col("els").alias("eb")), "b")
-    common = F.size(F.array_intersect("ea", "eb"))
-    return two.where(common >= threshold * (F.size("ea") + F.size("eb") - common)).select(*pairs.columns)
+    return two.where(overlap("ea", "eb", threshold)).select(*pairs.columns)
 
 
 def near_classes(
@@ -294,9 +301,17 @@ def _labelled(docs: DataFrame, threshold: float, bands: int, rows: int, id_col:
         before = (F.slice(c, 1, F.col("band")) for c in ("half_keys", "p_half_keys"))
         met = F.exists(F.zip_with(*before, lambda x, y: x == y), lambda z: z)
         wanted = later & (F.col("component") != F.col("p_component")) & alike & (differ <= most_different(2 * bands * rows, threshold)) & ~met
-        pairs = here.join(pivot, "key").where(wanted)
-        pairs = pairs.select(F.col("node").alias("a"), F.col("p_node").alias("b"), F.col("component").alias("ca"), F.col("p_component").alias("cb"))
-        links = materialize(verify(pairs, sets, threshold), folder, f"links-{turn}")
+        ends = [F.col("node").alias("a"), F.col("p_node").alias("b"), F.col("component").alias("ca"), F.col("p_component").alias("cb")]
+        if turn == 0:
+            # One pivot a bucket: a member has a few pairs at most, and most rows go no further.
+            links = verify(here.join(pivot, "key").where(wanted).select(*ends), sets, threshold)
+        else:
+            # Few rows are still open, but pairs grow with their number times the pivots: each row brings its
+            # multiset to the bucket once, and the overlap is tested where the pair is met.
+            mine, its = sets.select("node", "els"), sets.select(F.col("node").alias("p_node"), F.col("els").alias("p_els"))
+            met_here = here.join(mine, "node").join(pivot.join(its, "p_node"), "key")
+            links = met_here.where(wanted & overlap("els", "p_els", threshold)).select(*ends)
+        links = materialize(links, folder, f"links-{turn}")
         if not links.isEmpty():
             merged = components(links, f"{folder}/turn-{turn}", "ca", "cb").select(F.col("node").alias("old"), F.col("component").alias("new"))
             joined = classes.join(merged, F.col("component") == F.col("old"), "left")
