@@ -219,9 +219,9 @@ def multisets(docs: DataFrame) -> DataFrame:
 
 
 def overlap(ea: str, eb: str, threshold: float) -> Column:
-    """Whether two multisets overlap by ``threshold`` or more."""
-    common = F.size(F.array_intersect(ea, eb))
-    return common >= threshold * (F.size(ea) + F.size(eb) - common)
+    """Whether two multisets overlap by ``threshold`` or more; the common elements are counted once."""
+    both = F.array(F.size(F.array_intersect(ea, eb)))
+    return F.exists(both, lambda common: common >= threshold * (F.size(ea) + F.size(eb) - common))
 
 
 def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
