@@ -14,7 +14,8 @@ the length of a chain nor its repetition is limited. Literals that score ``MIN_S
 base span are added as kind ``literal``.
 
 Null and empty texts hold no spans. Spans are in code points, the end
-exclusive. Rows that repeat are scanned each.
+exclusive. Rows that repeat are scanned each. A very long text costs time and
+memory in proportion to it and, per sensitive name, to the kinds of characters of its value.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import pyarrow as pa
@@ -38,11 +40,15 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")  # the maximal runs of 32 and more are the matches of [0-9a-f]+ that stay
 
-# A name, an assignment sign, and where the value begins.
-_TARGET = re.compile(r"""(?:([A-Za-z_][\w.\-]*)["']?\]?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))|<([A-Za-z_][\w.\-]*)>)[ \t]*""", re.A)
-_OPERAND = re.compile(r"""(?:[rbuf]{0,2}"([^"\n]*)"|[rbuf]{0,2}'([^'\n]*)'|([A-Za-z0-9_+/=.~!@#$%^&*\-]+))""", re.A)
+# A name, an assignment sign, and where the value begins. A name ends where its run of characters ends, so only
+# the first letter of a run is tried: a long word without a sign costs no square.
+_TARGET = re.compile(
+    r"""(?:(?<![\w.\-])[\d.\-]*+([A-Za-z_][\w.\-]*+)["']?\]?[ \t]*+(?::=|=>|=(?!=)|:(?![:/]))|<([A-Za-z_][\w.\-]*+)>)[ \t]*+""", re.A
+)
+_QUOTED = re.compile(r"""[rbuf]{0,2}"([^"\n]*)"|[rbuf]{0,2}'([^'\n]*)'""", re.A)
+_BARE = re.compile(r"[A-Za-z0-9_+/=.~!@#$%^&*\-]+", re.A)
 _PLUS = re.compile(r"[ \t]*(?:\+|\.\.?|&)[ \t]*(?=[\"'A-Za-z_])")
-_NAME = re.compile(r"[A-Za-z_][\w.]*\Z", re.A)
+_NAME = re.compile(r"[A-Za-z_][\w.]*+", re.A)
 _SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])", re.A)
 
 # Words of a target name and how much each tells of a secret.
@@ -73,13 +79,6 @@ def name_weight(name: str) -> float:
     return min(1.5, sum(SENSITIVE.get(w.lower(), 0.0) for w in _SPLIT.split(name) if w))
 
 
-def literal_weight(value: str) -> float:
-    """0 for a short literal, a placeholder or prose; else up to 1.2 by its entropy and mixture."""
-    if len(value) < MIN_LITERAL or any(c.isspace() for c in value) or value.lower().startswith(PLACEHOLDERS) or len(set(value)) < 4:
-        return 0.0
-    return _mixture(Counter(value), len(value))
-
-
 def _mixture(counts: Counter[str], length: int) -> float:
     """The entropy and the kinds of characters of a value, from how often it holds each."""
     entropy = -sum(p * math.log2(p) for p in (n / length for n in counts.values()) if p)
@@ -89,7 +88,7 @@ def _mixture(counts: Counter[str], length: int) -> float:
 
 
 def joined_weight(counts: Counter[str], head: str) -> float:
-    """As ``literal_weight``, of a joined value known by its characters and how it begins."""
+    """Of a value known by its characters and how it begins: 0 for a short one, a placeholder or prose; else up to 1.2."""
     length = sum(counts.values())
     if length < MIN_LITERAL or any(c.isspace() for c in counts) or head.lower().startswith(PLACEHOLDERS) or len(counts) < 4:
         return 0.0
@@ -101,33 +100,48 @@ def scores(weight: float, literal: float) -> bool:
     return weight >= 0.5 and weight * literal >= MIN_SCORE - 0.2 * (weight >= 1.0)
 
 
-#: (start, end, literal, whether its value is known: not a variable in a chain), or the number of the assignment that a constant stands for.
-Operand = tuple[int, int, str, bool] | int
+#: (start, end, whether its value is known: not a variable in a chain, whether it is bare), or the number of the
+#: assignment that a constant stands for.
+Operand = tuple[int, int, bool, bool] | int
 
 
 def assignments(text: str) -> list[tuple[str, list[Operand]]]:
-    """(target name, operands) of each assignment; those it uses come before it."""
+    """(target name, operands) of each assignment; those it uses come before it.
+
+    Values are kept by their places. All bare values that begin in one run of
+    characters end where it ends, so the end is looked for once a run.
+    """
     found: list[tuple[str, list[Operand]]] = []
     constants: dict[str, int] = {}
-    at = 0
+    at, run_start, run_end = 0, 0, 0
     while target := _TARGET.search(text, at):
         name, pos = target[1] or target[2], target.end()
         parts: list[Operand] = []
-        while operand := _OPERAND.match(text, pos):
-            group = operand.lastindex or 3
-            value = operand[group]
-            if group == 3 and _NAME.match(value) and value in constants:
-                parts.append(constants[value])
+        while True:
+            if operand := _QUOTED.match(text, pos):
+                group = operand.lastindex
+                parts.append((operand.start(group), operand.end(group), True, False))
+                pos = operand.end()
             else:
-                parts.append((operand.start(group), operand.end(group), value, group != 3 or not _NAME.match(value)))
-            pos = operand.end()
+                if not run_start <= pos < run_end:
+                    run = _BARE.match(text, pos)
+                    if not run:
+                        break
+                    run_start, run_end = pos, run.end()
+                named = _NAME.match(text, pos)
+                is_name = named is not None and named.end() == run_end
+                if is_name and named[0] in constants:
+                    parts.append(constants[named[0]])
+                else:
+                    parts.append((pos, run_end, not is_name, True))
+                pos = run_end
             if not (plus := _PLUS.match(text, pos)):
                 break
             pos = plus.end()
         if parts:
             constants[name] = len(found)
             found.append((name, parts))
-        at = max(target.end(), target.start() + 1)  # values may hold further pairs: {"a": {"token": "..."}}
+        at = target.end()  # values may hold further pairs: {"a": {"token": "..."}}
     return found
 
 
@@ -149,10 +163,26 @@ def lexed_pairs(text: str) -> list[tuple[str, int, int, str]]:
             if isinstance(part, int):
                 left += found[part][1][::-1]
             else:
-                pairs.append((name, *part[:3]))
+                pairs.append((name, part[0], part[1], text[part[0] : part[1]]))
     return pairs
 
 
+def letter_counts(text: str, parts: set[tuple[int, int, bool, bool]]) -> dict[tuple[int, int], Counter[str]]:
+    """How often each value holds each character; bare values of one end are counted from that end, each character once."""
+    counts: dict[tuple[int, int], Counter[str]] = {}
+    held, at, end = Counter(), 0, -1
+    for start, stop, _, bare in sorted(parts, key=lambda x: (x[1], -x[0])):
+        if not bare:
+            counts[start, stop] = Counter(text[start:stop])
+            continue
+        if stop != end:
+            held, at, end = Counter(), stop, stop
+        held.update(text[start:at])
+        at = start
+        counts[start, stop] = held.copy()
+    return counts
+
+
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Literals that score and lie in no base span, as (start, kind number, end)."""
     if not ("=" in text or ":" in text or "</" in text):
@@ -165,6 +195,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
             if isinstance(part, int):
                 weights[part] = max(weights[part], weights[n])
                 last_use.setdefault(part, n)
+    letters = letter_counts(text, {p for w, (_, parts) in zip(weights, assigned) if w >= 0.5 for p in parts if not isinstance(p, int)})
     found = set()
     whole = [False] * len(assigned)
     joined: dict[int, tuple[Counter[str], str]] = {}
@@ -177,12 +208,13 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
                 counts.update(joined[part][0])
                 head = head if len(head) >= _HEAD else head + joined[part][1]
                 continue
-            start, end, value, known = part
-            if scores(weights[n], literal_weight(value)):
+            start, end, known, _ = part
+            begin = text[start : min(end, start + _HEAD)]
+            if scores(weights[n], joined_weight(letters[start, end], begin)):
                 found.add((start, 3, end))
             if known:
-                counts.update(value)
-                head = head if len(head) >= _HEAD else head + value[:_HEAD]
+                counts.update(letters[start, end])
+                head = head if len(head) >= _HEAD else head + begin
         whole[n] = len(parts) > 1 and scores(weights[n], joined_weight(counts, head))
         if n in last_use:
             joined[n] = counts, head[:_HEAD]
@@ -193,9 +225,23 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         for part in assigned[n][1] if whole[n] else ():
             if isinstance(part, int):
                 whole[part] = True
-            elif part[3] and part[2]:
+            elif part[2] and part[1] > part[0]:
                 found.add((part[0], 3, part[1]))
-    return [s for s in sorted(found) if not any(b[0] <= s[0] and s[2] <= b[2] for b in base)]
+    return outside(sorted(found), base)
+
+
+def outside(spans: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The spans that lie in no base span: of the base spans that begin no later, the furthest end decides."""
+    starts, ends = [], []
+    for start, _, end in sorted(base):
+        starts.append(start)
+        ends.append(max(end, ends[-1]) if ends else end)
+    kept = []
+    for span in spans:
+        at = bisect_right(starts, span[0])
+        if not at or ends[at - 1] < span[2]:
+            kept.append(span)
+    return kept
 
 
 def as_text(spans: list[tuple[int, int, int]]) -> str:

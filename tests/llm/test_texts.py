@@ -1,5 +1,7 @@
 """Licence scan, byte-level BPE, secret scan: per-text operators against brute force."""
 
+from collections import Counter
+import time
 import hashlib
 import random
 import re
@@ -221,3 +223,32 @@ def test_secret_rows_and_redaction(spark):
 def test_redaction_joins_overlapping_spans():
     assert op7.redacted("abcdefgh", [(1, 0, 4), (2, 2, 6), (7, 1, 8)]) == "a[SECRET]g[SECRET]"
     assert op7.redacted("abcd", [(0, 0, 2), (2, 1, 4)]) == "[SECRET][SECRET]"
+
+
+LONG_SECRETS = {
+    "a" * 1_000_000 + " x=1": 0, "a=1&" * 250_000: 0, "token=1&" * 125_000: 0, "token=" * 160_000: 0,
+    'password = "aB3$x9Kq7"\n' * 40_000: 40_000, "=" * 1_000_000: 0, "-." * 500_000 + "=": 0,
+}
+
+
+def test_long_unbroken_texts_take_linear_time():
+    """One word, query strings, chains of one run and very many secrets: a megabyte each."""
+    began = time.process_time()
+    for text, n in LONG_SECRETS.items():
+        assert len(op7.added_spans(text, op7.base_spans(text))) == n
+    assert time.process_time() - began < 60
+
+
+def test_spans_inside_base_spans_are_left_out():
+    rng = random.Random(8)
+    for _ in range(300):
+        spans = sorted({(a, 3, a + rng.randrange(1, 9)) for a in (rng.randrange(40) for _ in range(6))})
+        base = [(a, 0, a + rng.randrange(1, 20)) for a in (rng.randrange(40) for _ in range(4))]
+        assert op7.outside(spans, base) == [s for s in spans if not any(b[0] <= s[0] and s[2] <= b[2] for b in base)]
+
+
+def test_values_are_counted_from_their_common_end():
+    text = "a=b=c='q=r' d=e&f=gg"
+    parts = {p for _, found in op7.assignments(text) for p in found if not isinstance(p, int)}
+    counts = op7.letter_counts(text, parts)
+    assert len(parts) > 4 and all(counts[a, e] == Counter(text[a:e]) for a, e, _, _ in parts)
