@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rateflow.llm import vec
-from rateflow.llm.common import id_and_text, materialize, new_run_folder, null_ids_back, read, ship, text_chunks
+from rateflow.llm.common import free_names, id_and_text, materialize, new_run_folder, null_ids_back, read, ship, text_chunks
 from rateflow.llm.components import components
 
 SHINGLE = 5
@@ -245,18 +245,21 @@ def text_digest(text: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of one row of each class: the least (id, text digest), of equal rows any one.
+    """All columns of one row of each class: the least (id, text digest), of rows equal in both the one whose other columns come first as JSON.
 
     A null id comes after all others. Rows without words all stay, but for rows equal in id and text.
     """
+    own_name, id_name, node_name, place = free_names(docs, "own", "id", "node", "place")
     found = _labelled(docs, threshold, bands, rows, id_col, text_col)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("__id"), F.col("node").alias("__node"))).alias("first")
-    chosen = found.where("n > 0").groupBy("component").agg(first).select("first.__id", "first.__node")
-    wordless = found.where("n = 0").select(F.col("doc_id").alias("__id"), F.col("node").alias("__node")).distinct()
-    own = docs.withColumn("__own", text_digest(docs[text_col]))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias(id_name), F.col("node").alias(node_name))).alias("first")
+    chosen = found.where("n > 0").groupBy("component").agg(first).select(f"first.{id_name}", f"first.{node_name}")
+    wordless = found.where("n = 0").select(F.col("doc_id").alias(id_name), F.col("node").alias(node_name)).distinct()
+    own = docs.withColumn(own_name, text_digest(docs[text_col]))
     wanted = chosen.unionByName(wordless)
-    joined = own.join(wanted, own[id_col].cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__node")))
-    return joined.dropDuplicates(["__id", "__node"]).select(*docs.columns)
+    joined = own.join(wanted, own[id_col].cast("bigint").eqNullSafe(F.col(id_name)) & (F.col(own_name) == F.col(node_name)))
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col]
+    first_row = Window.partitionBy(id_name, node_name).orderBy(F.to_json(F.struct(*others)))
+    return joined.withColumn(place, F.row_number().over(first_row)).where(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _labelled(docs: DataFrame, threshold: float, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:

@@ -5,10 +5,12 @@ import random
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from helpers import SF_SMALL
 from rateflow.llm import op6_byte_bpe, op7_secret_scan
-from samples import SCHEMA, frame, prose
+from samples import CLASH, SCHEMA, frame, prose
 from test_duplicates import brute_classes
 from test_models import junk
 
@@ -90,3 +92,22 @@ def test_decontaminate_keeps_clean_rows_of_a_leaked_id(spark, tmp_path):
     docs = frame(spark, [*clean, (None, "so " + item), (5, item)])
     got = corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(clean, key=str)
+
+
+def test_stages_keep_columns_whose_names_they_use_themselves(spark):
+    rng = random.Random(6)
+    text = prose(rng, 60)
+    rows = [(1, text), (1, text), (2, text + " end"), (3, prose(rng, 60)), (None, None)]
+    docs = frame(spark, rows, clash=True).withColumn("__score", F.lit("x")).withColumn("__own", F.lit("y")).withColumn("own", F.lit("z"))
+    docs = docs.withColumn("__id", F.lit(7)).withColumn("id", F.lit(8)).withColumn("place", F.lit(9))
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") == 1, F.concat(F.lit("l"), F.monotonically_increasing_id().cast("string"))).otherwise(F.col("lang")))
+    docs = docs.cache()
+    kept = corpus_pipeline.near_dedup(spark, docs, SF_SMALL)
+    assert kept.columns == docs.columns
+    got = {r.doc_id: r for r in kept.collect()}
+    assert set(got) == {1, 3, None} and all((r["__own"], r.own, r["__id"], r.id, r.place) == ("y", "z", 7, 8, 9) for r in got.values())
+    assert got[1].lang == min(r.lang for r in docs.where("doc_id = 1").collect())
+    for stage in (corpus_pipeline.quality, corpus_pipeline.decontaminate, corpus_pipeline.redact_secrets):
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns
+        assert all(r["__score"] == "x" and r[CLASH[0]] == "en" for r in out.where("doc_id = 3").collect())
