@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateflow.llm import op4_quality_pu, op6_byte_bpe, op7_secret_scan, op8_decontaminate, op9_bag_minhash
-from rateflow.llm.common import materialize, new_run_folder, read
+from rateflow.llm.common import free_names, materialize, new_run_folder, read
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     model = op4_quality_pu.fit(docs, read(spark, sf_dir, "labels"))
-    scored = op4_quality_pu.with_scores(docs, model, "__score")
-    return scored.where(F.col("__score") >= op4_quality_pu.THRESHOLD).drop("__score")
+    (score,) = free_names(docs, "score")
+    scored = op4_quality_pu.with_scores(docs, model, score)
+    return scored.where(F.col(score) >= op4_quality_pu.THRESHOLD).drop(score)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +33,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
     found = op8_decontaminate.contaminated_rows(docs, read(spark, sf_dir, "benchmark"))
-    found = found.select(F.col("doc_id").alias("__id"), F.col("node").alias("__node")).distinct()
+    found = found.select("doc_id", "node").distinct()
     found = materialize(found, new_run_folder(spark), "contaminated")
-    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("__id")) & (op8_decontaminate.text_digest(docs["text"]) == F.col("__node"))
+    same = docs["doc_id"].cast("bigint").eqNullSafe(found["doc_id"]) & (op8_decontaminate.text_digest(docs["text"]) == found["node"])
     return docs.join(found, same, "left_anti")
 
 
