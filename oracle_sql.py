@@ -561,7 +561,9 @@ FROM placed GROUP BY 1, 2"""
     # model
     q["gbt_stump"] = _stump()
     q["gbt_check"] = _with(
-        "SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_null, true AS not_above_mean FROM val", gaps=True
+        "SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_null, "
+        f"(SELECT {r6('stddev_pop(label)')} FROM train) AS mean_rmse, true AS not_above_mean FROM val",
+        gaps=True,
     )
     q["gbt_search_small"] = _stump_search()
     q["gbt_nodes"] = _stump_nodes()

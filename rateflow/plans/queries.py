@@ -412,13 +412,13 @@ def gbt_stump(spark, sf_dir):
 
 
 def gbt_check(spark, sf_dir):
-    """One row: predictions made, null ones, and whether training RMSE is not above the mean predictor's."""
+    """One row: predictions made, null ones, the mean predictor's training RMSE, and whether the model's is not above it."""
     model, train, val = _small_model(spark, sf_dir)
     own = evaluate.rmse(predict(model, train)).first()["rmse"]
     mean = evaluate.rmse(evaluate.mean_predictor(train, train)).first()["rmse"]
     return predict(model, val).agg(
         F.count("*").alias("n"), F.count_if(F.col("prediction").isNull()).alias("n_null"),
-        F.lit(own <= mean).alias("not_above_mean"),
+        F.lit(mean).alias("mean_rmse"), F.lit(own <= mean).alias("not_above_mean"),
     )
 
 
