@@ -220,3 +220,15 @@ def test_the_sieve_loses_fewer_pairs_than_the_bands():
     at_most = op9.most_different(slots, op9.THRESHOLD)
     lost = sum(math.comb(slots, k) * p**k * (1 - p) ** (slots - k) for k in range(at_most + 1, slots + 1))
     assert lost < 1e-5 < (1 - op9.THRESHOLD**op9.ROWS) ** op9.BANDS < 3e-4
+
+
+@pytest.mark.parametrize("upper", [True, False])
+def test_collisions_are_the_pairs_in_enough_windows(upper):
+    rng = np.random.default_rng(4)
+    pa = np.round(rng.standard_normal((300, 5)), 1)  # ties on every line
+    pb = pa if upper else np.round(rng.standard_normal((170, 5)), 1)
+    found = [pair for x, y in op5.collisions(pa, pb, 0.35, 2, upper) for pair in zip(x.tolist(), y.tolist())]
+    counts = (np.abs(pa[:, None, :] - pb[None, :, :]) <= 0.35).sum(axis=2)
+    wanted = {(i, j) for i, j in zip(*np.nonzero(counts >= 2)) if not upper or i < j}
+    assert len(found) == len(set(found)) and set(found) == wanted
+    assert list(op5.collisions(pa[:0], pb, 0.35, 2, False)) == []
