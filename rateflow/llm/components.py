@@ -22,25 +22,33 @@ def _is_stars(edges: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
+def stored_edges(links: DataFrame, folder: str, a: str = "a", b: str = "b") -> DataFrame:
+    """(u, v) with u > v: the different links, written once; they may be none."""
+    return materialize(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), folder, "edges-0")
+
+
 def components(links: DataFrame, folder: str, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) for every node of ``links``; a component is named by its least node.
+    """(node, component) for every node of ``links``; a component is named by its least node."""
+    return components_of(stored_edges(links, folder, a, b), folder)
+
+
+def components_of(edges: DataFrame, folder: str) -> DataFrame:
+    """``components`` of edges that ``stored_edges`` wrote to the folder.
 
     The steps end when the edges are stars around the least node of each
-    component. Each step is a grouped minimum (map-side combined) and a join with one row
+    component. Each step is two grouped minima (map-side combined) and joins with one row
     per node, so a node with very many links can be split. The edge table
     is written after each step: lineage stays short and a lost executor costs a re-read.
     """
-    edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
-    edges = materialize(edges, folder, "edges-0")
     step = 0
     while not _is_stars(edges):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.u", "e.v")
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        large = materialize(large, folder, f"edges-{step}-large")
         near = _least(large)  # u > v on every row, so m is the least of v
-        small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(near.select("u", F.col("m").alias("v")))
+        ends = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+        small = near.select(F.explode(ends).alias("e")).select("e.u", "e.v").where("u != v").distinct()
         step += 1
-        edges = materialize(small.where("u != v").distinct(), folder, f"edges-{step}")
+        edges = materialize(small, folder, f"edges-{step}")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from rateflow.llm import vec
 from rateflow.llm.common import free_names, id_and_text, materialize, new_run_folder, null_ids_back, read, ship, text_chunks
-from rateflow.llm.components import components
+from rateflow.llm.components import components_of, stored_edges
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -275,24 +275,28 @@ def _labelled(docs: DataFrame, threshold: float, bands: int, rows: int, id_col:
     members = materialize(spread.join(sizes, "key"), folder, "members")
     nodes = spark.read.parquet(f"{folder}/nodes")
 
+    words = [F.col("bits")[i].alias(f"s{i}") for i in range(-(-2 * bands * rows // 32))]
+    half_keys = F.transform("bands", lambda k: F.shiftright(k, 32).cast("int")).alias("half_keys")
+    carried = ["n", "half_keys", *(f"s{i}" for i in range(len(words)))]
     rank = members.groupBy("node").agg(F.sum("mates").alias("degree"))
-    chosen = rank.join(nodes.select("node", "least_id"), "node").select(F.coalesce("least_id", F.lit(-(1 << 63))).alias("chosen_id"), F.col("node").alias("want"))
+    about = materialize(rank.join(nodes.select("node", "least_id", "n", half_keys, *words), "node"), folder, "about")
+    chosen = about.select(F.coalesce("least_id", F.lit(-(1 << 63))).alias("chosen_id"), F.col("node").alias("want"))
     source = texts.join(chosen, F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("chosen_id"))
     source = source.where(text_digest(F.col("text")) == F.col("want")).select("doc_id", "text")
     sets = materialize(multisets(source).dropDuplicates(["node"]), folder, "sets")
 
-    words = [F.col("bits")[i].alias(f"s{i}") for i in range(-(-2 * bands * rows // 32))]
-    half_keys = F.transform("bands", lambda k: F.shiftright(k, 32).cast("int")).alias("half_keys")
-    carried = ["n", "half_keys", *(f"s{i}" for i in range(len(words)))]
-    about = materialize(rank.join(nodes.select("node", "n", half_keys, *words), "node"), folder, "about")
     open_rows = members.join(about, "node").select("key", "band", "node", "degree", *carried)
-    classes = materialize(rank.select("node", F.col("node").alias("component")), folder, "classes")
+    classes = about.select("node", F.col("node").alias("component"))
     best_first = Window.partitionBy("key").orderBy(F.desc("degree"), "node")
     turn, pivots = 0, 1
     while True:
-        here = open_rows.join(classes, "node")
-        mixed = here.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
-        here = materialize(here.join(mixed, "key", "left_semi"), folder, f"open-{turn}")
+        if turn == 0:
+            here = open_rows.withColumn("component", F.col("node"))  # every node is a class of its own, and no bucket holds just one
+        else:
+            here = open_rows.join(classes, "node")
+            mixed = here.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
+            here = here.join(mixed, "key", "left_semi")
+        here = materialize(here, folder, f"open-{turn}")
         if here.isEmpty():
             break
         first = here.withColumn("turn", F.row_number().over(best_first)).where(F.col("turn") <= pivots).drop("turn")
@@ -300,23 +304,26 @@ def _labelled(docs: DataFrame, threshold: float, bands: int, rows: int, id_col:
         pivot = first.select("key", *[F.col(c).alias(f"p_{c}") for c in ("node", "degree", "component", *carried)])
         later = (F.col("degree") < F.col("p_degree")) | ((F.col("degree") == F.col("p_degree")) & (F.col("node") > F.col("p_node")))
         alike = F.least("n", "p_n") >= threshold * F.greatest("n", "p_n")
-        differ = sum((differing_slots(F.col(c), F.col(f"p_{c}")) for c in carried[2:]), F.lit(0))
+        differ = [differing_slots(F.col(c), F.col(f"p_{c}")) for c in carried[2:]]
+        most = most_different(2 * bands * rows, threshold)
+        # Documents that have little in common differ in too many of the first slots already.
+        sieve = (sum(differ[: len(differ) // 2], F.lit(0)) <= most) & (sum(differ, F.lit(0)) <= most)
         before = (F.slice(c, 1, F.col("band")) for c in ("half_keys", "p_half_keys"))
         met = F.exists(F.zip_with(*before, lambda x, y: x == y), lambda z: z)
-        wanted = later & (F.col("component") != F.col("p_component")) & alike & (differ <= most_different(2 * bands * rows, threshold)) & ~met
-        ends = [F.col("node").alias("a"), F.col("p_node").alias("b"), F.col("component").alias("ca"), F.col("p_component").alias("cb")]
+        wanted = later & (F.col("component") != F.col("p_component")) & alike & sieve & ~met
+        ends = [F.col("component").alias("ca"), F.col("p_component").alias("cb")]
         if turn == 0:
             # One pivot a bucket: a member has a few pairs at most, and most rows go no further.
-            links = verify(here.join(pivot, "key").where(wanted).select(*ends), sets, threshold)
+            links = verify(here.join(pivot, "key").where(wanted).select(F.col("node").alias("a"), F.col("p_node").alias("b"), *ends), sets, threshold)
         else:
             # Few rows are still open, but pairs grow with their number times the pivots: each row brings its
             # multiset to the bucket once, and the overlap is tested where the pair is met.
             mine, its = sets.select("node", "els"), sets.select(F.col("node").alias("p_node"), F.col("els").alias("p_els"))
             met_here = here.join(mine, "node").join(pivot.join(its, "p_node"), "key")
             links = met_here.where(wanted & overlap("els", "p_els", threshold)).select(*ends)
-        links = materialize(links, folder, f"links-{turn}")
-        if not links.isEmpty():
-            merged = components(links, f"{folder}/turn-{turn}", "ca", "cb").select(F.col("node").alias("old"), F.col("component").alias("new"))
+        edges = stored_edges(links, f"{folder}/turn-{turn}", "ca", "cb")
+        if not edges.isEmpty():
+            merged = components_of(edges, f"{folder}/turn-{turn}").select(F.col("node").alias("old"), F.col("component").alias("new"))
             joined = classes.join(merged, F.col("component") == F.col("old"), "left")
             classes = materialize(joined.select("node", F.coalesce("new", "component").alias("component")), folder, f"classes-{turn}")
         open_rows = here.drop("component").join(first.select("key", "node"), ["key", "node"], "left_anti")
