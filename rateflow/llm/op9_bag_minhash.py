@@ -14,16 +14,22 @@ Signatures are cut into bands; documents that share a band are compared, and
 pairs whose true multiset overlap is ``THRESHOLD`` or more are links. Equal texts
 are one node from the start. In each band bucket the document with the
 most bucket mates is compared with all others first; links join classes, and
-only members of different classes go on, against the next 64, 4096, ... members
-of the bucket, until no bucket holds two classes that were not compared. No
+only members of different classes go on, against the next 64 members of the
+bucket. What is left then, buckets that still hold different classes, is dealt into
+blocks of bounded size and compared in pairs of blocks. A class too large for one block
+has blocks of its own, and two blocks of one class are no pair, so a large class
+next to a few strangers costs its own size and not its square. No
 pair that shares a band, passes the sieve of slot bits below and ends in
-different classes is left uncompared, and nothing is capped. A pair is looked at in the bucket of its first common band only.
+different classes is left uncompared, and nothing is capped. In the first two turns a pair is looked at in the bucket of its first common band only.
 Before the true overlap, two bits of each slot (twice as many as the bands use) are
 compared: a pair at the threshold differs in 3/20 of the slots, and a pair
 ``DEVIATIONS`` standard deviations beyond that is none (chance 1.3e-6 at the
 threshold, 4e-12 at 0.84). From the second turn on a row carries its multiset to
 the bucket and the true overlap is tested there, so that a group of copies
-that are alike, but not enough, sends rows and not pairs.
+that are alike, but not enough, sends rows and not pairs. Blocks need no sieve: the common elements of all
+their pairs are one matrix product, and a pair of blocks answers with
+the links that join its classes, fewer than it has rows. A very long text is a block of its own and needs
+memory in proportion to its words.
 
 Recall: a pair of similarity 0.8 shares one of 36 bands of 7 with probability
 0.9998, one of 0.85 with 0.999999; the sieve adds 1.3e-6 to the loss of 2.1e-4
@@ -40,6 +46,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -52,8 +59,10 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 36, 7
 DEVIATIONS = 5
-#: By how much the number of members that a bucket compares with all others grows each turn.
-PIVOT_GROWTH = 64
+#: How many members a bucket compares with all others in each turn; the rest goes on in blocks.
+PIVOTS = (1, 64)
+#: Rows and shingles of a block (on average; rows are dealt by hash), and columns of the matrix product at once.
+BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 256, 1 << 18, 4096
 #: Bytes and documents sketched at once: a document draws some ten points a slot, however short it is.
 CHUNK, CHUNK_DOCS = 2 << 20, 256
 #: Weighted points of a document expected below its first time limit, beyond the slots' share.
@@ -231,6 +240,86 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return two.where(overlap("ea", "eb", threshold)).select(*pairs.columns)
 
 
+def common_elements(els: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many elements each row of ``left`` has in common with each of ``right``."""
+    size = np.fromiter(map(len, els), np.int64, len(els))
+    column = np.unique(np.concatenate(els), return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], np.repeat(np.arange(len(els)), size)[order]
+    out = np.zeros((len(left), len(right)), np.int64)
+    cuts = np.searchsorted(column, np.arange(0, (int(column[-1]) if len(column) else -1) + COLUMNS + 1, COLUMNS))
+    for k, (a, e) in enumerate(zip(cuts[:-1], cuts[1:])):
+        has = np.zeros((len(els), COLUMNS), np.float32)
+        has[row[a:e], column[a:e] - k * COLUMNS] = 1
+        out += (has[left] @ has[right].T).astype(np.int64)
+    return out
+
+
+def _joining(pairs: np.ndarray, n: int) -> list[int]:
+    """Positions of the pairs that join two parts of n things, taken in order."""
+    root = list(range(n))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for i, (x, y) in enumerate(pairs.tolist()):
+        x, y = top(x), top(y)
+        if x != y:
+            root[x] = y
+            out.append(i)
+    return out
+
+
+def compare_blocks(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """(ca, cb): links that join the classes of two blocks (``right`` tells which), or of one block with itself."""
+    code, names = pd.factorize(rows["component"])
+    els = [np.asarray(x, np.int32) for x in rows["els"]]
+    right = np.flatnonzero(rows["right"].to_numpy(bool))
+    left = np.flatnonzero(~rows["right"].to_numpy(bool))
+    right = right if len(right) else left
+    size = np.fromiter(map(len, els), np.int64, len(els))
+    common = common_elements(els, left, right)
+    linked = common >= threshold * (size[left][:, None] + size[right][None, :] - common)
+    a, b = np.nonzero(linked & (code[left][:, None] != code[right][None, :]))
+    pairs = np.unique(np.column_stack([code[left][a], code[right][b]]), axis=0)
+    pairs = pairs[_joining(pairs, len(names))]
+    return pd.DataFrame({"ca": [names[x] for x in pairs[:, 0]], "cb": [names[x] for x in pairs[:, 1]]}, dtype=object)
+
+
+def block_links(rows: DataFrame, sets: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(ca, cb): links between the classes of each bucket; ``rows`` has key, node, n and component.
+
+    Within a bucket, a class above a block's size is dealt over blocks of its own by
+    node; all others share blocks, dealt by class. Sizes are grouped sums, so no task holds a bucket.
+    """
+    ship(rows.sparkSession)
+    rows = rows.select("key", "node", "n", "component")
+    weight = F.col("n") * block_rows + block_shingles  # whole numbers: their sum is the same whenever it is computed
+    full = block_rows * block_shingles
+    classes = rows.groupBy("key", "component").agg(F.sum(weight).alias("weight")).withColumn("own", F.ceil(F.col("weight") / full))
+    shared = classes.where("own = 1").groupBy("key").agg(F.ceil(F.sum("weight") / full).alias("shared"))
+    alone = F.col("own") > 1
+    dealt = classes.join(shared, "key", "left").select(
+        "key", "component", "own",
+        F.when(alone, F.col("component")).otherwise(F.lit(b"")).alias("owner"),
+        F.when(~alone, F.pmod(F.xxhash64("component"), F.col("shared"))).alias("part"),
+    )
+    parts = dealt.select("key", "owner", F.explode(F.when(alone, F.sequence(F.lit(0).cast("bigint"), F.col("own") - 1)).otherwise(F.array("part"))).alias("part"))
+    blocks = parts.distinct().select("key", F.struct("owner", "part").alias("block"))
+    met = blocks.withColumnRenamed("block", "x").join(blocks.withColumnRenamed("block", "y"), "key")
+    met = met.where((F.col("x") <= F.col("y")) & ((F.col("x.owner") != F.col("y.owner")) | (F.col("x.owner") == F.lit(b""))))
+    sides = F.array(F.struct(F.col("x").alias("block"), F.lit(False).alias("right")), F.struct(F.col("y").alias("block"), F.lit(True).alias("right")))
+    ends = met.select("key", "x", "y", F.explode(F.when(F.col("x") == F.col("y"), F.slice(sides, 1, 1)).otherwise(sides)).alias("end"))
+    ends = ends.select("key", "x", "y", "end.block.owner", "end.block.part", "end.right")
+    part = F.coalesce("part", F.pmod(F.xxhash64("node"), F.col("own")))
+    placed = rows.join(dealt, ["key", "component"]).select("key", "node", "component", "owner", part.alias("part"))
+    sent = placed.join(sets.select("node", "els"), "node").join(ends, ["key", "owner", "part"])
+    return sent.groupBy("key", "x", "y").applyInPandas(lambda found: compare_blocks(found, threshold), "ca binary, cb binary")
+
+
 def near_classes(
     docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -288,8 +377,7 @@ def _labelled(docs: DataFrame, threshold: float, bands: int, rows: int, id_col:
     open_rows = members.join(about, "node").select("key", "band", "node", "degree", *carried)
     classes = about.select("node", F.col("node").alias("component"))
     best_first = Window.partitionBy("key").orderBy(F.desc("degree"), "node")
-    turn, pivots = 0, 1
-    while True:
+    for turn, pivots in enumerate((*PIVOTS, None)):
         if turn == 0:
             here = open_rows.withColumn("component", F.col("node"))  # every node is a class of its own, and no bucket holds just one
         else:
@@ -299,35 +387,38 @@ def _labelled(docs: DataFrame, threshold: float, bands: int, rows: int, id_col:
         here = materialize(here, folder, f"open-{turn}")
         if here.isEmpty():
             break
-        first = here.withColumn("turn", F.row_number().over(best_first)).where(F.col("turn") <= pivots).drop("turn")
-        first = materialize(first, folder, f"pivots-{turn}")
-        pivot = first.select("key", *[F.col(c).alias(f"p_{c}") for c in ("node", "degree", "component", *carried)])
-        later = (F.col("degree") < F.col("p_degree")) | ((F.col("degree") == F.col("p_degree")) & (F.col("node") > F.col("p_node")))
-        alike = F.least("n", "p_n") >= threshold * F.greatest("n", "p_n")
-        differ = [differing_slots(F.col(c), F.col(f"p_{c}")) for c in carried[2:]]
-        most = most_different(2 * bands * rows, threshold)
-        # Documents that have little in common differ in too many of the first slots already.
-        sieve = (sum(differ[: len(differ) // 2], F.lit(0)) <= most) & (sum(differ, F.lit(0)) <= most)
-        before = (F.slice(c, 1, F.col("band")) for c in ("half_keys", "p_half_keys"))
-        met = F.exists(F.zip_with(*before, lambda x, y: x == y), lambda z: z)
-        wanted = later & (F.col("component") != F.col("p_component")) & alike & sieve & ~met
-        ends = [F.col("component").alias("ca"), F.col("p_component").alias("cb")]
-        if turn == 0:
-            # One pivot a bucket: a member has a few pairs at most, and most rows go no further.
-            links = verify(here.join(pivot, "key").where(wanted).select(F.col("node").alias("a"), F.col("p_node").alias("b"), *ends), sets, threshold)
+        if pivots is None:
+            links = block_links(here, sets, threshold)
         else:
-            # Few rows are still open, but pairs grow with their number times the pivots: each row brings its
-            # multiset to the bucket once, and the overlap is tested where the pair is met.
-            mine, its = sets.select("node", "els"), sets.select(F.col("node").alias("p_node"), F.col("els").alias("p_els"))
-            met_here = here.join(mine, "node").join(pivot.join(its, "p_node"), "key")
-            links = met_here.where(wanted & overlap("els", "p_els", threshold)).select(*ends)
+            first = here.withColumn("turn", F.row_number().over(best_first)).where(F.col("turn") <= pivots).drop("turn")
+            first = materialize(first, folder, f"pivots-{turn}")
+            pivot = first.select("key", *[F.col(c).alias(f"p_{c}") for c in ("node", "degree", "component", *carried)])
+            later = (F.col("degree") < F.col("p_degree")) | ((F.col("degree") == F.col("p_degree")) & (F.col("node") > F.col("p_node")))
+            alike = F.least("n", "p_n") >= threshold * F.greatest("n", "p_n")
+            differ = [differing_slots(F.col(c), F.col(f"p_{c}")) for c in carried[2:]]
+            most = most_different(2 * bands * rows, threshold)
+            # Documents that have little in common differ in too many of the first slots already.
+            sieve = (sum(differ[: len(differ) // 2], F.lit(0)) <= most) & (sum(differ, F.lit(0)) <= most)
+            before = (F.slice(c, 1, F.col("band")) for c in ("half_keys", "p_half_keys"))
+            met = F.exists(F.zip_with(*before, lambda x, y: x == y), lambda z: z)
+            wanted = later & (F.col("component") != F.col("p_component")) & alike & sieve & ~met
+            ends = [F.col("component").alias("ca"), F.col("p_component").alias("cb")]
+            if turn == 0:
+                # One pivot a bucket: a member has a few pairs at most, and most rows go no further.
+                links = verify(here.join(pivot, "key").where(wanted).select(F.col("node").alias("a"), F.col("p_node").alias("b"), *ends), sets, threshold)
+            else:
+                # Few rows are still open, but pairs grow with their number times the pivots: each row brings its
+                # multiset to the bucket once, and the overlap is tested where the pair is met.
+                mine, its = sets.select("node", "els"), sets.select(F.col("node").alias("p_node"), F.col("els").alias("p_els"))
+                met_here = here.join(mine, "node").join(pivot.join(its, "p_node"), "key")
+                links = met_here.where(wanted & overlap("els", "p_els", threshold)).select(*ends)
         edges = stored_edges(links, f"{folder}/turn-{turn}", "ca", "cb")
         if not edges.isEmpty():
             merged = components_of(edges, f"{folder}/turn-{turn}").select(F.col("node").alias("old"), F.col("component").alias("new"))
             joined = classes.join(merged, F.col("component") == F.col("old"), "left")
             classes = materialize(joined.select("node", F.coalesce("new", "component").alias("component")), folder, f"classes-{turn}")
-        open_rows = here.drop("component").join(first.select("key", "node"), ["key", "node"], "left_anti")
-        turn, pivots = turn + 1, pivots * PIVOT_GROWTH
+        if pivots is not None:
+            open_rows = here.drop("component").join(first.select("key", "node"), ["key", "node"], "left_anti")
     least = nodes.select("node", "least_id").join(classes, "node")
     named = least.join(least.groupBy("component").agg(F.min("least_id").alias("class_id")), "component").select("node", "component", "class_id")
     label = nodes.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.coalesce("class_id", "least_id").alias("class_id"))

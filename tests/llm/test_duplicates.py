@@ -123,6 +123,53 @@ def test_a_hub_whose_copies_differ_is_one_class(spark):
     assert Counter((r.doc_id, r.cluster_id) for r in got) == brute_classes(rows)
 
 
+def block_rows(rng):
+    """Buckets of a large class and strangers, of many single classes, and of one class: (key, node, n, component), and the nodes' elements."""
+    rows, els = [], {}
+
+    def add(key, node, component, own):
+        els.setdefault(node, sorted(set(own)))
+        rows.append((key, node, len(els[node]), component))
+
+    common = list(range(1000, 1060))
+    for i in range(60):  # a class over several blocks, in two buckets
+        for key in (1, 2):
+            add(key, b"a%03d" % i, b"a000", common + [i])
+    for i in range(40):  # strangers: some are near a member of the large class, some near each other, some near none
+        own = common[: 60 - i % 20] if i % 2 else [rng.randrange(50) + 5000 for _ in range(30)]
+        add(1, b"s%03d" % i, b"s%03d" % i, own)
+        add(3, b"s%03d" % i, b"s%03d" % i, own)
+    add(4, b"long0", b"long0", range(9000))
+    add(4, b"long1", b"long1", range(1000, 10000))
+    return rows, els
+
+
+@pytest.mark.parametrize("size", [(256, 1 << 18), (7, 1 << 18), (256, 300), (2, 100)])
+def test_blocks_join_the_classes_that_brute_force_joins(spark, size):
+    rows, els = block_rows(random.Random(8))
+    found = spark.createDataFrame(rows, "key bigint, node binary, n bigint, component binary").repartition(4)
+    sets = spark.createDataFrame(list(els.items()), "node binary, els array<int>")
+    got = [(bytes(r.ca), bytes(r.cb)) for r in op9.block_links(found, sets, 0.8, *size).collect()]
+    want = set()
+    for key, a, _, ca in rows:
+        for other, b, _, cb in rows:
+            x, y = set(els[a]), set(els[b])
+            if key == other and ca < cb and len(x & y) >= 0.8 * len(x | y):
+                want.add((ca, cb))
+    assert {(min(p), max(p)) for p in got} <= want
+    names = sorted({r[3] for r in rows})
+    assert union(names, got) == union(names, want)
+    assert want
+    if size == (256, 1 << 18):  # a bucket is one block here, and a block joins its classes by fewer links than it has rows
+        assert len(got) < len(rows)
+
+
+def test_blocks_of_no_rows(spark):
+    found = spark.createDataFrame([], "key bigint, node binary, n bigint, component binary")
+    sets = spark.createDataFrame([], "node binary, els array<int>")
+    assert op9.block_links(found, sets, 0.8).collect() == []
+
+
 def test_signature_agreement_is_unbiased():
     rng = np.random.default_rng(7)
     hashes = rng.integers(0, 2**63, 150).astype(np.uint64)
