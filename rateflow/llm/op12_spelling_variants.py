@@ -19,7 +19,9 @@ the equal end, the equal text and the equal half. Keys are 64-bit hashes; every
 hit is verified, so a collision costs a comparison and no wrong or lost pair.
 Each word sends at most 12 lookups and 16 index entries, whatever its length.
 
-The index is a Spark join on those keys; the order of bigrams is a table of at
+The index is a Spark join on those keys. It and every other join on words is hinted to
+sort and merge: a table of words may be small in its file, and the planner would
+broadcast it, through the driver. The order of bigrams is a table of at
 most 90 x 90 rows, since words are made of the letters a-z and U+00C0 to U+00FF only.
 
 A word's form is its near word of largest count (ties: smallest in code-point
@@ -288,7 +290,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     first = (F.col("look.last") < F.col("index.last")) | (
         (F.col("look.last") == F.col("index.last")) & (F.col("look.word") < F.col("index.word"))
     )
-    pairs = look.join(index, same & first & one_edit(F.col("look.word"), F.col("index.word"))).select(F.col("look.word").alias("a"), F.col("index.word").alias("b"))
+    pairs = look.join(index.hint("merge"), same & first & one_edit(F.col("look.word"), F.col("index.word"))).select(F.col("look.word").alias("a"), F.col("index.word").alias("b"))
     return pairs.distinct()
 
 
@@ -299,12 +301,12 @@ def with_forms(words: DataFrame, pairs: DataFrame, ratio: int = FORM_RATIO) -> D
     """
     sides = F.explode(F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("near")), F.struct(F.col("b").alias("word"), F.col("a").alias("near"))))
     both = pairs.select(sides.alias("side")).select("side.word", "side.near")
-    counted = both.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    counted = both.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")).hint("merge"), "near")
     best = counted.groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("minus_n"), F.col("near").alias("near"))).alias("best")
     )
     common = -F.col("best.minus_n") >= ratio * F.col("n")
-    return words.join(best, "word", "left").select(
+    return words.join(best.hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
         F.when(common, F.col("best.near")).alias("form"), F.when(common, -F.col("best.minus_n")).alias("form_n"),
     )
@@ -320,7 +322,7 @@ def roots(forms: DataFrame, folder: str) -> DataFrame:
     while True:
         turn += 1
         next_ = known.select(F.col("word").alias("via"), F.col("root").alias("further"))
-        moved = known.join(next_, F.col("root") == F.col("via"), "left").select(
+        moved = known.join(next_.hint("merge"), F.col("root") == F.col("via"), "left").select(
             "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")
         )
         moved = materialize(moved, folder, f"roots{turn}")
@@ -335,7 +337,7 @@ def variant_groups(counts: DataFrame, min_count: int = MIN_COUNT, ratio: int = F
     words = materialize(counts.where(F.col("n") >= min_count), folder, "words")
     pairs = materialize(near_pairs(words), folder, "pairs")
     forms = materialize(with_forms(words, pairs, ratio), folder, "forms")
-    return forms.join(roots(forms, folder), "word", "left").select(
+    return forms.join(roots(forms, folder).hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
 

@@ -125,3 +125,14 @@ def test_pieces_do_not_cut_words():
     for size in (1, 3, 10, 10_000):
         assert "".join(op.pieces(text, size)) == text
         assert [w for p in op.pieces(text, size) for w in re.findall("[a-zÀ-ÿ]+", p)] == re.findall("[a-zÀ-ÿ]+", text)
+
+
+def test_no_table_of_words_is_broadcast(spark):
+    """A few words, far below every broadcast threshold: still no join sends them through the driver."""
+    chain = ["aaaaa" + "b" * k for k in range(6)]
+    found = op.variant_groups(spark.createDataFrame([(w, 3 * 2**k) for k, w in enumerate(chain)], "word string, n bigint"))
+    words = found.select("word", "n")
+    pairs = op.near_pairs(words)
+    for df in (found, pairs, op.with_forms(words, pairs)):
+        df.collect()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
