@@ -9,12 +9,15 @@ counted per pair, and a pair met at least
 count is the largest that a pair at the threshold still reaches with ``RECALL``.
 
 Equal vectors of a label are one node with a count, so a vector that a third
-of all rows share is one row. Labels of up to ``CELL_TARGET`` nodes are one cell; larger ones are
-cut into cells by a grid on further lines, several grids with random offsets, so many that
-a pair at the threshold shares a cell with ``RECALL``; a pair is
-counted in its first common grid only. Cells of more than ``BLOCK`` nodes are
+of all rows share is one row. A label is one cell, whatever its size, so whether a pair is
+found depends on its two vectors alone. Cells of more than ``BLOCK`` nodes are
 dealt into chunks and every pair of chunks is one block, so no task ever holds
-more than two chunks, and nothing is left out.
+more than two chunks, and nothing is left out; the work grows with the square of a label's nodes.
+
+A caller who prefers less work to all links names a ``cell_target``: labels of more nodes are
+then cut into cells by a grid on further lines, several grids with random offsets, so many that
+a pair at the threshold shares a cell with ``RECALL``; a pair is counted in
+its first common grid only. The query does not use it.
 
 Null vectors, zero vectors, vectors with null or non-finite components and
 rows without a label link with nothing: n_links 0, component_id their own id.
@@ -40,7 +43,6 @@ RECALL = 0.998
 PROJECTIONS = 16
 WIDTH = 0.25
 BLOCK = 2048
-CELL_TARGET = 1 << 16
 CELL_WIDTH = 1.0
 #: Queries whose collisions are counted at once.
 TILE = 64
@@ -67,9 +69,9 @@ def calibrated_count(threshold: float, projections: int, width: float, recall: f
     return 0
 
 
-def cell_plan(nodes: int, threshold: float, recall: float, target: int = CELL_TARGET) -> tuple[int, int]:
-    """(lines of the grid, number of grids) for a label of so many nodes; (0, 1): one cell."""
-    if nodes <= target:
+def cell_plan(nodes: int, threshold: float, recall: float, target: int | None = 1 << 16) -> tuple[int, int]:
+    """(lines of the grid, number of grids) for a label of so many nodes; (0, 1): one cell, as always without a target."""
+    if target is None or nodes <= target:
         return 0, 1
     share = sum((_phi((k + 1) * CELL_WIDTH) - _phi(k * CELL_WIDTH)) ** 2 for k in range(-6, 6))  # of unrelated pairs that meet on a line
     lines = math.ceil(math.log(nodes / target) / -math.log(share))
@@ -150,7 +152,7 @@ def _roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def link_vectors(
     vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-    cell_target: int = CELL_TARGET, block: int = BLOCK,
+    cell_target: int | None = None, block: int = BLOCK,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     spark = vectors.sparkSession

@@ -1,5 +1,6 @@
 """Near-duplicate documents and vectors, and connected components, against brute force."""
 
+import inspect
 import math
 import random
 from collections import Counter
@@ -279,3 +280,11 @@ def test_collisions_are_the_pairs_in_enough_windows(upper):
     wanted = {(i, j) for i, j in zip(*np.nonzero(counts >= 2)) if not upper or i < j}
     assert len(found) == len(set(found)) and set(found) == wanted
     assert list(op5.collisions(pa[:0], pb, 0.35, 2, False)) == []
+
+
+def test_a_label_of_any_size_is_one_cell(spark):
+    assert op5.cell_plan(10**9, op5.THRESHOLD, op5.RECALL, None) == (0, 1)
+    assert inspect.signature(op5.link_vectors).parameters["cell_target"].default is None
+    rows = vectors(5, 300)
+    got = op5.link_vectors(spark.createDataFrame(rows, VECTORS), block=32).collect()
+    assert Counter((r.vec_id, r.n_links, r.component_id) for r in got) == brute_links(rows)
