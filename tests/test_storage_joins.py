@@ -27,3 +27,8 @@ def test_broadcast_only_under_the_size_limit(spark):
 def test_spread_gives_every_slot_a_partition(spark):
     one = spark.range(1000).coalesce(1)
     assert spread_for_compute(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_spread_bounds_the_rows_of_a_partition(spark):
+    assert spread_for_compute(spark.range(1000).coalesce(1), task_rows=20).rdd.getNumPartitions() == 50
+    assert spread_for_compute(spark.range(0, 1000, 1, 60), task_rows=20).rdd.getNumPartitions() == 60
