@@ -100,3 +100,10 @@ def test_previews_from_the_end_and_by_key(spark):
     assert preview_from_end(df, ["id"]).first()["id"] == 19
     assert preview_from_end(df, ["id"], 5).first()["id"] == 15
     assert preview_key(df, "id", 7).first()["x"] == 14
+
+
+def test_rating_filters_do_not_render_or_parse_the_line_again(spark):
+    made = spark.range(4).select(F.concat_ws(",", F.col("id").cast("string"), F.lit("b"), F.col("id").cast("string")).alias("value"))
+    kept = training_rows(parse_rating_lines(made, "user_id,business_id,stars"))
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("concat_ws") <= 2
+    assert sorted(r["user_id"] for r in kept.collect()) == ["1", "2", "3"]
