@@ -158,11 +158,11 @@ def attach_rivals(rows: DataFrame, rivals: DataFrame, parity: bool = False) -> D
 
 
 def business_dim(rows: DataFrame, photo_lines: DataFrame, checkin_lines: DataFrame) -> DataFrame:
-    """All business-keyed values in one frame, built with one shuffle on ``business_id``.
+    """All business-keyed values in one frame, built with one wide shuffle on ``business_id``.
 
     ``rows`` are business.json lines with ``line_rivals`` attached. The three
     sources are stacked and reduced by one ``groupBy``: last-wins for the
-    business.json features and the check-in totals, a count for photos, and
+    business.json features and the check-in totals, the photos counted before, and
     the per-key sums needed for the mean open days over lines (A08). Every
     value is numeric and reduced by its own ``max_by`` / ``sum`` / ``count``,
     so the reduce is a hash aggregate with a map-side partial step. A key
@@ -177,7 +177,8 @@ def business_dim(rows: DataFrame, photo_lines: DataFrame, checkin_lines: DataFra
         F.when(review_count_kept(), F.col(SEQ)).alias("rc_seq"),
         F.col("open_days").alias("od_line"),
     )
-    photos = parse_json_lines(photo_lines, PHOTO, required=PHOTO_KEYS).select("business_id", F.lit(1).alias("ph"))
+    # Counted on their own first: a photo line would carry the buffers of every other column through the shuffle.
+    photos = photo_count(photo_lines).withColumnRenamed("photos", "ph")
     checkins = checkin_rows(checkin_lines).select(
         "business_id", F.col("checkins").alias("ck"), F.col(SEQ).alias("ck_seq")
     )

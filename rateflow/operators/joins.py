@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Largest dimension broadcast to every task, in memory.
 BROADCAST_MAX_BYTES = 128 * 1024 * 1024
+# Largest share of a dimension that one task hashes, in memory.
+HASH_MAX_BYTES = 128 * 1024 * 1024
 # Bytes in memory per byte of a stored (compressed, encoded) table.
 EXPANSION = 8
 
@@ -61,14 +63,16 @@ def row_bytes(schema: T.StructType) -> int:
     return 8 + sum(_WIDTH.get(type(f.dataType), 128) for f in schema.fields)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of the files of a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
 def stored_bytes(df: DataFrame) -> int | None:
     """Bytes of the files that a stored table is read from; None for other frames."""
-    spark = df.sparkSession
     folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
-    if not folders:
-        return None
-    paths = [spark._jvm.org.apache.hadoop.fs.Path(folder) for folder in folders]
-    return sum(path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength() for path in paths)
+    return sum(path_bytes(df.sparkSession, folder) for folder in folders) if folders else None
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
@@ -87,6 +91,21 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> D
     return df
 
 
+def hash_if_bounded(df: DataFrame, files: int | None = None) -> DataFrame:
+    """Have ``df``, one row per key, hashed by a shuffle join where a task's share of it is bounded.
+
+    Neither side is sorted then. Only for a table (of ``files`` bytes, else as stored) that is
+    too large to broadcast; one whose share of a shuffle partition exceeds
+    ``HASH_MAX_BYTES`` is left to a sort-merge join, which can spill. Keys are
+    unique, so shares are even; the other side may be skewed, and AQE splits it.
+    """
+    files = stored_bytes(df) if files is None else files
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if files is not None and BROADCAST_MAX_BYTES < files * EXPANSION <= HASH_MAX_BYTES * partitions:
+        return df.hint("shuffle_hash")
+    return df
+
+
 def lookup(ratings: DataFrame, business: DataFrame, user: DataFrame, tips: DataFrame) -> DataFrame:
     """Each ratings row with the matching business, user and pair values (NULL if absent).
 

@@ -14,7 +14,7 @@ from rateflow.operators import business as biz
 from rateflow.operators import stats
 from rateflow.operators import user as usr
 from rateflow.operators.interactions import tip_likes
-from rateflow.operators.joins import broadcast_if_small, default_values, fill_defaults, lookup
+from rateflow.operators.joins import broadcast_if_small, default_values, fill_defaults, hash_if_bounded, lookup
 from rateflow.operators.materialize import materialize
 from rateflow.sources.csv_ratings import parse_rating_lines, training_rows
 from rateflow.sources.inputs import Inputs
@@ -88,16 +88,17 @@ def build_dimensions(
 
     ``store`` (frame, name) -> frame, when given, is applied to each
     dimension as soon as it is built, so later steps read the stored table
-    (the areas are stored before the business dimension looks them up).
+    (the areas are stored before the business dimension looks them up), and to
+    the business and user lines, whose parsed values are each read many times.
     """
     keep = store or (lambda df, _name: df)
-    rows = biz.business_rows(inputs.business, parity)
+    rows = keep(biz.business_rows(inputs.business, parity), "business_rows")
     rivals = keep(biz.rivals_per_area(rows), "area_dim")
     business = keep(
         biz.business_dim(biz.attach_rivals(rows, rivals, parity), inputs.photo, inputs.checkin),
         "business_dim",
     )
-    user = keep(usr.user_dim(usr.user_rows(inputs.user, as_of, parity)), "user_dim")
+    user = keep(usr.user_dim(keep(usr.user_rows(inputs.user, as_of, parity), "user_rows")), "user_dim")
     tips = keep(tip_likes(inputs.tip), "tip_dim")
     dflt = stats.defaults(
         stats.business_means(business),
@@ -118,13 +119,14 @@ def materialize_dimensions(
     defaults; storing them computes each once and cuts its lineage. The
     defaults are then aggregated from the stored tables into one row of
     numbers, and the business and user tables are broadcast only if their
-    measured size fits (``broadcast_if_small``).
+    measured size fits (``broadcast_if_small``), else hashed by a shuffle join
+    if a task's share does, as the pairs are (``hash_if_bounded``).
     """
     dims = build_dimensions(inputs, as_of, parity, store=lambda df, name: materialize(df, folder, name))
     return Dimensions(
-        business=broadcast_if_small(dims.business),
-        user=broadcast_if_small(dims.user),
-        tips=dims.tips,
+        business=hash_if_bounded(broadcast_if_small(dims.business)),
+        user=hash_if_bounded(broadcast_if_small(dims.user)),
+        tips=hash_if_bounded(dims.tips),
         rivals=dims.rivals,
         defaults=default_values(dims.defaults),
     )

@@ -21,7 +21,7 @@ from rateflow.operators import business as biz
 from rateflow.operators import interactions as ix
 from rateflow.operators import stats
 from rateflow.operators import user as usr
-from rateflow.operators.joins import lookup
+from rateflow.operators.joins import hash_if_bounded, lookup
 from rateflow.operators.materialize import materialize, new_run_folder, spread_for_compute
 from rateflow.operators.standardize import standardize
 from rateflow.plans import evaluate
@@ -292,7 +292,7 @@ def _joined(spark, sf_dir):
     inp = inputs_from_tables(spark, sf_dir, gaps=True, folder=folder)
     # Stored dimensions: next to a plain shuffle of theirs, a skewed ratings partition can be split.
     dims = build_dimensions(inp, store=lambda df, name: materialize(df, folder, name))
-    return lookup(train_ratings(inp).drop("n_fields"), dims.business, dims.user, dims.tips)
+    return lookup(train_ratings(inp).drop("n_fields"), *map(hash_if_bounded, (dims.business, dims.user, dims.tips)))
 
 
 def join_business(spark, sf_dir):

@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rateflow.operators.joins import hash_if_bounded, path_bytes
 from rateflow.operators.materialize import materialize, spread_for_compute
 from rateflow.sources.inputs import Inputs
 from rateflow.sources.schemas import RATINGS_HEADER
@@ -80,6 +81,7 @@ def _rated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = hash_if_bounded(orders, path_bytes(spark, f"{sf_dir.rstrip('/')}/orders.parquet"))
     return li.join(orders, li.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("l_partkey").cast("string").alias("business_id"),
@@ -184,13 +186,12 @@ def checkin_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spread_for_compute(_table(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_linenumber"))
     # Counted by numbers; the slot is named once per group.
     counts = li.groupBy("l_partkey", F.dayofweek("l_shipdate").alias("day"), "l_linenumber").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    day = F.element_at(F.array(*[F.lit(name[:3]) for name in WEEK]), F.col("day"))
-    slots = counts.select(F.col("l_partkey").cast("string").alias("business_id"), F.concat(day, F.lit("-"), F.col("l_linenumber")).alias("slot"), "n")
-    # At most 7 weekdays x 7 line numbers per part, so each map is bounded.
-    per_part = slots.groupBy("business_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("slot", "n"))).alias("time")
-    )
-    return _json_lines(per_part, F.col("time"), F.col("business_id"))
+    # At most 7 weekdays x 7 line numbers per part, so each map is bounded, and the counts are
+    # dealt by part as numbers: lists gathered before the shuffle would hold a few slots each.
+    per_part = counts.repartition("l_partkey").groupBy("l_partkey").agg(F.collect_list(F.struct("day", "l_linenumber", "n")).alias("slots"))
+    day = F.array(*[F.lit(name[:3]) for name in WEEK])
+    time = F.transform("slots", lambda s: F.struct(F.concat(F.element_at(day, s["day"]), F.lit("-"), s["l_linenumber"]).alias("slot"), s["n"].alias("n")))
+    return _json_lines(per_part, F.map_from_entries(time).alias("time"), F.col("l_partkey").cast("string").alias("business_id"))
 
 
 def inputs_from_tables(spark: SparkSession, sf_dir: str, gaps: bool = False, folder: str | None = None) -> Inputs:

@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 
 from helpers import SF_SMALL, lines
 from rateflow.operators.interactions import tip_likes
-from rateflow.operators.joins import lookup
+from rateflow.operators.joins import BROADCAST_MAX_BYTES, EXPANSION, HASH_MAX_BYTES, hash_if_bounded, lookup
+from rateflow.operators.materialize import materialize, new_run_folder
+from rateflow.plans.features import build_dimensions
 from rateflow.plans.queries import QUERIES, _rounded, canonical
+from rateflow.sources.tables import checkin_lines
+from test_defaults import _inputs
 
 
 def _plan(df):
@@ -55,3 +59,29 @@ def test_rounding_keeps_what_has_six_places(spark):
     assert wrong == []
     zeros = canonical(spark.createDataFrame([(-0.0,)], "x double")).first()["x"]
     assert math.copysign(1, zeros) == 1
+
+
+def test_only_a_table_of_bounded_shares_is_hashed(spark):
+    hashed = lambda files: "shuffle_hash" in hash_if_bounded(spark.range(10), files)._jdf.queryExecution().analyzed().toString()
+    most = HASH_MAX_BYTES * int(spark.conf.get("spark.sql.shuffle.partitions")) // EXPANSION
+    assert [hashed(n) for n in (None, BROADCAST_MAX_BYTES // EXPANSION, BROADCAST_MAX_BYTES // EXPANSION + 1, most, most + 1)] == [False, False, True, True, False]
+
+
+def test_business_and_user_lines_are_parsed_into_a_table(spark):
+    folder, names = new_run_folder(spark), []
+
+    def store(df, name):
+        names.append(name)
+        return materialize(df, folder, name)
+
+    dims = build_dimensions(_inputs(spark, ["u1,b1,3.0"]), store=store)
+    assert names.index("business_rows") < names.index("area_dim") and names.index("user_rows") < names.index("user_dim")
+    assert dims.business.count() and dims.user.count()
+
+
+def test_photos_are_counted_before_the_wide_reduce(spark):
+    assert "count(1) AS ph" in _plan(build_dimensions(_inputs(spark, ["u1,b1,3.0"])).business)
+
+
+def test_checkin_slots_are_dealt_by_part_as_numbers(spark):
+    assert "RepartitionByExpression [l_partkey" in _plan(checkin_lines(spark, SF_SMALL))
