@@ -26,7 +26,7 @@ from rateflow.sources.sink import write_predictions
 
 
 # Tables under the run's folder that only this run reads.
-TABLES = ("area_dim", "business_dim", "user_dim", "tip_dim", "train_matrix", "val_matrix",
+TABLES = ("business_rows", "user_rows", "area_dim", "business_dim", "user_dim", "tip_dim", "train_matrix", "val_matrix",
           "rated_rows", "hot_user_id", "hot_business_id", "buckets")
 
 
